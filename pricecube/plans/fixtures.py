@@ -125,9 +125,17 @@ def raw_dirty(spark: SparkSession, sf_dir: str, as_of: str = AS_OF) -> DataFrame
     )
 
 
+# Country dictionary for lookups: N00..N05 only, so the other codes miss.
+COUNTRY_DICT = {
+    "N00": "ALGERIA",
+    "N01": "ARGENTINA",
+    "N02": "BRAZIL",
+    "N03": "CANADA",
+    "N04": "EGYPT",
+    "N05": "ETHIOPIA",
+}
+
+
 def countries(spark: SparkSession) -> DataFrame:
-    """Country dictionary N00..N05 (the others miss on lookup)."""
-    names = ["ALGERIA", "ARGENTINA", "BRAZIL", "CANADA", "EGYPT", "ETHIOPIA"]
-    return spark.createDataFrame(
-        [(f"N{i:02d}", n) for i, n in enumerate(names)], "geo string, name string"
-    )
+    """The dictionary as a DataFrame (fixed size, safe to broadcast)."""
+    return spark.createDataFrame(list(COUNTRY_DICT.items()), "geo string, name string")

@@ -164,3 +164,7 @@ def q_mart_half(spark, sf_dir):
 @register("mart_two_step", with_ctes("mart_half") + "select * from mart_half")
 def q_mart_two_step(spark, sf_dir):
     return annual.mart_two_step(stg_half(spark, sf_dir))
+
+
+# the other query families register themselves on import
+from pricecube.plans import ingest_queries, serving_queries  # noqa: E402,F401

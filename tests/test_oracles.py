@@ -1,0 +1,31 @@
+"""Every registered query equals its DuckDB oracle on the sf0.001 tables."""
+
+from __future__ import annotations
+
+import pytest
+
+import __spark_entry__ as E
+from pricecube.plans.compare import compare, duck_views
+
+ORACLES = E.oracle_sql()
+
+
+@pytest.fixture(scope="module")
+def con(sf_dir):
+    return duck_views(sf_dir)
+
+
+def test_every_query_has_an_oracle():
+    assert set(E.queries()) == set(ORACLES)
+
+
+@pytest.mark.parametrize("key", sorted(ORACLES))
+def test_query_matches_oracle(spark, sf_dir, con, key):
+    ok, msg = compare(E.queries()[key](spark, sf_dir), con, ORACLES[key])
+    assert ok, f"{key}: {msg}"
+
+
+def test_entry(spark):
+    df = E.entry(spark)
+    assert df.count() > 0
+    assert df.columns[0] == "country_code"

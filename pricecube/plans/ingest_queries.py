@@ -352,3 +352,29 @@ union all select 'TOTAL', (select count(*) from stg) + (select count(*) from mar
 def q_export_summary(spark, sf_dir):
     return publish.export_summary(spark, [(STG_TABLE, stg(spark, sf_dir)), (MART_TABLE, mart(spark, sf_dir))])
 
+
+
+# --- incremental load (Structured Streaming) ---------------------------------------
+
+
+@register(
+    "cube_stream_load",
+    with_ctes("obs")
+    + ","
+    + _CELLS_SQL
+    + f"""select c.consumer_type, c.geo, d.name as country_name, c.time, c.freq, c.freq_label,
+       c.nrg_cons, c.nrg_cons_label, c.tax, c.tax_label, c.currency, c.currency_label, c.geo_label, c.time_label,
+       c.value_eur_per_kwh, 1 as batches
+from cells c left join {_DICT_SQL} on c.geo = d.geo
+where cast(left(c.time, 4) as integer) between 1993 and 1997""",
+)
+def q_cube_stream_load(spark, sf_dir):
+    from pricecube.streaming.landing import load_landed
+
+    landing = scratch_path(spark, "landing")
+    cube_docs(spark, sf_dir).select("doc.*", "dataset").write.partitionBy("dataset").json(landing)
+    table = load_landed(
+        spark, landing, scratch_path(spark, "stream-raw"), start=1993, end=1997, names=fx.COUNTRY_DICT
+    )
+    batches = table.agg(F.count_distinct("loaded_at").alias("batches"))
+    return table.drop("loaded_at").crossJoin(batches)

@@ -1,0 +1,24 @@
+"""Join helpers with an explicit size check before broadcasting."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+# Largest dictionary we hint as broadcast; beyond it the planner (and AQE, at
+# run time with real sizes) chooses the strategy.
+MAX_BROADCAST_ROWS = 1_000_000
+
+
+def small_enough(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
+    """Counts at most ``max_rows + 1`` rows: the check itself is bounded."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def lookup_join(
+    df: DataFrame, dim: DataFrame, on: Column, how: str = "left", max_rows: int = MAX_BROADCAST_ROWS
+) -> DataFrame:
+    """Join a dimension/dictionary: broadcast when its row count is checked
+    below ``max_rows``, else a regular (shuffle) join."""
+    side = F.broadcast(dim) if small_enough(dim, max_rows) else dim
+    return df.join(side, on, how)

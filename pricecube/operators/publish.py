@@ -54,6 +54,27 @@ def load_once(
     return True, spark.read.format(fmt).load(path)
 
 
+def materialize_view(df: DataFrame, name: str) -> DataFrame:
+    """A lazily evaluated view (the staging model): nothing is computed."""
+    df.createOrReplaceTempView(name)
+    return df
+
+
+def ensure_database(spark: SparkSession, database: str) -> None:
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+
+
+def materialize_table(spark: SparkSession, df: DataFrame, name: str, fmt: str = "parquet") -> DataFrame:
+    """Rebuild a managed table (``db.table`` creates ``db`` when absent).
+
+    The written table also cuts the lineage: later reads start from files.
+    """
+    if "." in name:
+        ensure_database(spark, name.split(".", 1)[0])
+    df.write.mode("overwrite").format(fmt).saveAsTable(name)
+    return spark.table(name)
+
+
 def decimals_as_double(df: DataFrame) -> DataFrame:
     """The serving copy narrows DECIMAL columns to DOUBLE."""
     return df.select(

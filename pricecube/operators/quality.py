@@ -204,26 +204,58 @@ def _pct(c: Column) -> Column:
     return F.concat(F.format_string("%.2f", c), F.lit("%"))
 
 
+def _profile(df: DataFrame, columns: Sequence[str], extra: Sequence[Column] = ()) -> DataFrame:
+    """One aggregate over ``df``: row count, NULL count per column, extras."""
+    return df.agg(
+        F.count(F.lit(1)).alias("rows"),
+        *[F.count_if(F.col(c).isNull()).alias(f"_null_{c}") for c in columns],
+        *extra,
+    )
+
+
+def _profile_nulls(prof: DataFrame, table_name: str, columns: Sequence[str]) -> DataFrame:
+    rows = prof.select(
+        F.inline(
+            F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"_null_{c}").alias("nulls")) for c in columns])
+        )
+    )
+    return rows.select(F.lit(table_name).alias("table_name"), "column_name", "nulls")
+
+
 def report(
     stg: DataFrame,
     mart: DataFrame,
     low: float = PRICE_MIN,
     high: float = PRICE_MAX,
     k: int = YOY_HIGHLIGHTS,
+    checks=NULL_CHECKS,
 ) -> DataFrame:
-    """The six report sections as (section, item, value, status) text rows."""
-    s1 = row_counts(stg, mart).select(
-        F.lit(1).alias("section"),
-        F.col("table_name").alias("item"),
-        F.format_number("rows", 0).alias("value"),
-        "status",
-    )
-    lp = serving.latest_period(stg)
-    s2 = lp.select(
+    """The six report sections as (section, item, value, status) text rows.
+
+    All scalar checks of a table come from ONE aggregate (row count, latest
+    period, NULL counts, anomaly count); each profile is a single DataFrame
+    used by several sections, so its exchange is computed once and reused.
+    """
+    stg_cols = [c for t, c in checks if t == "stg"]
+    mart_cols = [c for t, c in checks if t == "mart"]
+    a = F.col("avg_price_eur_per_kwh")
+    anomalous = (a < low) | (a > high)
+    sp = _profile(stg, stg_cols, [F.max("period").alias("latest_period")])
+    mp = _profile(mart, mart_cols, [F.count_if(anomalous).alias("anomalies")])
+
+    def count_row(prof: DataFrame, name: str) -> DataFrame:
+        return prof.select(
+            F.lit(1).alias("section"),
+            F.lit(name).alias("item"),
+            F.format_number("rows", 0).alias("value"),
+            F.when(F.col("rows") == 0, "WARN").otherwise("OK").alias("status"),
+        )
+
+    s2 = sp.select(
         F.lit(2).alias("section"),
         F.lit("latest_period").alias("item"),
         F.coalesce("latest_period", F.lit("no data found")).alias("value"),
-        "status",
+        F.when(F.col("latest_period").isNull(), "WARN").otherwise("OK").alias("status"),
     )
     per_country = mart.groupBy("country_code", "country_name").agg(F.count(F.lit(1)).alias("rows"))
     s3 = per_country.select(
@@ -232,23 +264,23 @@ def report(
         F.format_number("rows", 0).alias("value"),
         F.lit("OK").alias("status"),
     )
-    s3_empty = mart.agg(F.count(F.lit(1)).alias("n")).where(F.col("n") == 0).select(
+    s3_empty = mp.where(F.col("rows") == 0).select(
         F.lit(3).alias("section"), F.lit("rows").alias("item"), F.lit("0").alias("value"), F.lit("WARN").alias("status")
     )
-    s4 = null_counts(stg, mart).select(
+    nulls = _profile_nulls(sp, STG_TABLE, stg_cols).unionByName(_profile_nulls(mp, MART_TABLE, mart_cols))
+    s4 = nulls.select(
         F.lit(4).alias("section"),
         F.concat_ws(".", "table_name", "column_name").alias("item"),
         F.col("nulls").cast("string").alias("value"),
-        "status",
+        F.when(F.col("nulls") > 0, "FAIL").otherwise("OK").alias("status"),
     )
-    anomalies = price_anomalies(mart, low, high)
-    s5 = anomalies.select(
+    s5 = mart.where(anomalous).select(
         F.lit(5).alias("section"),
         F.concat_ws(" ", "country_code", "consumer_type", F.col("year").cast("string")).alias("item"),
         F.format_string("%.4f", "avg_price_eur_per_kwh").alias("value"),
         F.lit("WARN").alias("status"),
     )
-    s5_none = anomalies.agg(F.count(F.lit(1)).alias("n")).where(F.col("n") == 0).select(
+    s5_none = mp.where(F.col("anomalies") == 0).select(
         F.lit(5).alias("section"), F.lit("anomalies").alias("item"), F.lit("0").alias("value"), F.lit("OK").alias("status")
     )
 
@@ -263,7 +295,7 @@ def report(
             F.lit("").alias("status"),
         )
 
-    out = s1
+    out = count_row(sp, STG_TABLE).unionByName(count_row(mp, MART_TABLE))
     for p in (s2, s3, s3_empty, s4, s5, s5_none, yoy(True), yoy(False)):
         out = out.unionByName(p)
     return out

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from pricecube.constants import COUNTRIES, END_YEAR, RAW_PRIORITY, RAW_SORT, START_YEAR
 from pricecube.functions import in_year_range
+from pricecube.operators.joins import lookup_join
 
 
 class NoDataError(RuntimeError):
@@ -66,8 +67,8 @@ def lookup_country(
     """Insert the looked-up name; a miss is NULL.
 
     A Python mapping becomes a literal map expression (no join at all); a
-    dictionary DataFrame is left-joined with a broadcast hint - its size is
-    that of the dictionary, fixed by the caller, not by the data.
+    dictionary DataFrame is left-joined, broadcast only after its row count is
+    checked (bounded count), otherwise as a regular join.
     """
     if isinstance(names, Mapping):
         if not names:
@@ -76,7 +77,7 @@ def lookup_country(
         return df.withColumn(out_col, F.try_element_at(m, F.col(code_col)))
     key, value = names.columns[:2]
     d = names.select(F.col(key).alias("_lk"), F.col(value).alias("_lv"))
-    joined = df.join(F.broadcast(d), F.col(code_col) == F.col("_lk"), "left")
+    joined = lookup_join(df, d, F.col(code_col) == F.col("_lk"), "left")
     return joined.drop("_lk", out_col).withColumnRenamed("_lv", out_col)
 
 

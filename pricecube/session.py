@@ -74,5 +74,19 @@ def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
 
+_BASE_TABLES: dict[tuple[int, str], object] = {}
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str):
-    return spark.read.parquet(table_path(sf_dir, name))
+    """The driver's (read-only) input table.
+
+    The base relation is memoized per session, so building a query does not
+    list the files and read the footers again each time; every query still
+    gets its own plan from Catalyst.
+    """
+    key = (id(spark), table_path(sf_dir, name))
+    df = _BASE_TABLES.get(key)
+    if df is None or df.sparkSession is not spark:
+        df = spark.read.parquet(key[1])
+        _BASE_TABLES[key] = df
+    return df

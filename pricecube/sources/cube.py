@@ -132,7 +132,8 @@ def decode(
         out_cols.append(F.when(at > 0, F.element_at("_l", at.cast("int"))).alias(f"{d}_label"))
     out = cells.select(*out_cols, F.col(value_col))
     if partitions:
-        out = out.repartition(partitions, *dims[:2])
+        # hash on the full cell coordinates: even spread, deterministic on retry
+        out = out.repartition(partitions, *carry, *dims)
     return out
 
 

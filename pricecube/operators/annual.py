@@ -168,25 +168,38 @@ def with_yoy(df: DataFrame, value: str = "avg_price_eur_per_kwh") -> DataFrame:
 
 
 def mart(stg: DataFrame, band: str | None = MART_BAND, priority: Sequence[str] = TIER_PRIORITY) -> DataFrame:
-    """The annual mart (unordered; order at read with ``serving.prices``)."""
-    keyed = _with_year(_band(stg, band)).where(
-        F.col("country_code").isNotNull() & F.col("year").isNotNull() & F.col("consumer_type").isNotNull()
-    )
+    """The annual mart (unordered; order at read with ``serving.prices``).
+
+    Four plan steps: filter (band and non-NULL grain keys, as the original's
+    inner join drops NULL keys), one aggregate, one window select, the YoY.
+    """
+    year = year_of(F.col("period"))
+    cond = F.col("country_code").isNotNull() & F.col("consumer_type").isNotNull() & year.isNotNull()
+    if band is not None:
+        cond = (F.col("nrg_cons") == band) & cond
     names = [f"_t{i}" for i in range(len(priority))]
-    agg = keyed.groupBy("country_code", "country_name", "year", "consumer_type").agg(
-        *_stats(), *_tier_count_cols(priority)
+    agg = (
+        stg.where(cond)
+        .groupBy("country_code", "country_name", year.alias("year"), "consumer_type")
+        .agg(*_stats(), *_tier_count_cols(priority))
     )
+    avg = _avg()
+    w = Window.partitionBy("country_code", "consumer_type").orderBy("year")
     annual = agg.select(
         "country_code",
         "country_name",
         "year",
         "consumer_type",
-        _avg().alias("avg_price_eur_per_kwh"),
+        avg.alias("avg_price_eur_per_kwh"),
         "min_price",
         "max_price",
         mode_expr([F.col(n) for n in names], priority).alias("price_category_mode"),
+        F.lag(avg, 1).over(w).alias("prior_year_avg_price"),
+    )
+    return annual.select(
+        *MART_COLUMNS[:-1],
+        pct_change(F.col("avg_price_eur_per_kwh"), F.col("prior_year_avg_price"), 2).alias("yoy_change_pct"),
     )
-    return with_yoy(with_prior(annual)).select(*MART_COLUMNS)
 
 
 def mart_two_step(

@@ -53,7 +53,13 @@ def checkpoint_root(spark: SparkSession) -> str:
     Reads the session's checkpoint directory; sets a private one only when the
     cluster names none (local tests).
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect sessions have no SparkContext
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster") from None
+        return configured
     current = sc.getCheckpointDir()
     if current:
         return current

@@ -376,5 +376,5 @@ def q_cube_stream_load(spark, sf_dir):
     table = load_landed(
         spark, landing, scratch_path(spark, "stream-raw"), start=1993, end=1997, names=fx.COUNTRY_DICT
     )
-    batches = table.agg(F.count_distinct("loaded_at").alias("batches"))
-    return table.drop("loaded_at").crossJoin(batches)
+    batches = table.agg(F.count_distinct("loaded_at")).scalar()
+    return table.drop("loaded_at").withColumn("batches", batches)

@@ -126,18 +126,37 @@ def export_summary(spark: SparkSession, tables: Sequence[tuple[str, DataFrame]])
     return rolled.select(F.coalesce("table_name", F.lit("TOTAL")).alias("table_name"), "rows")
 
 
+def point_table_at(spark: SparkSession, table: str, location: str, fmt: str = "parquet") -> None:
+    """Publish by metadata: (re)point a catalog table at validated files.
+
+    No data is copied; readers switch to the new files when the catalog entry
+    changes.
+    """
+    if "." in table:
+        ensure_database(spark, table.split(".", 1)[0])
+    if spark.catalog.tableExists(table):
+        spark.sql(f"ALTER TABLE {table} SET LOCATION '{location}'")
+        spark.catalog.refreshTable(table)
+    else:
+        spark.sql(f"CREATE TABLE {table} USING {fmt} LOCATION '{location}'")
+
+
 def gated_publish(
     spark: SparkSession,
     candidates: Sequence[tuple[str, DataFrame, Sequence[quality.Rule], str]],
     staging_root: str,
     fmt: str = "parquet",
+    targets_are_tables: bool = False,
 ) -> DataFrame:
     """Write every candidate to a staging path, run the rule suite on the
-    staged copies, and only when every rule passes copy them to their targets.
+    staged copies, and only when every rule passes publish them.
 
-    ``candidates``: (table_name, df, rules, target path).  On failure raises
+    ``candidates``: (table_name, df, rules, target).  On failure raises
     ``QualityGateError`` and no target is touched.  The staged copies cut the
     lineage, so the suite and the publish read files, not the plan again.
+    Targets are paths (the staged files are copied there) or, with
+    ``targets_are_tables``, catalog tables that are re-pointed at the staged
+    files without copying (use a fresh ``staging_root`` per run).
     Returns the suite results.
     """
     staged = []
@@ -152,5 +171,8 @@ def gated_publish(
         detail = ", ".join(f"{r.table_name}.{r.column_name} {r.test}={r.failures}" for r in bad)
         raise QualityGateError(f"quality gate failed: {detail}")
     for name, df, _, target in staged:
-        df.write.mode("overwrite").format(fmt).save(target)
+        if targets_are_tables:
+            point_table_at(spark, target, f"{staging_root.rstrip('/')}/{name}", fmt)
+        else:
+            df.write.mode("overwrite").format(fmt).save(target)
     return results

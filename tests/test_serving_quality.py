@@ -120,3 +120,17 @@ def test_lookup_and_tidy(spark):
     t = datasets.tidy([df], sort=["consumer_type", "time"])
     assert t.columns[:4] == ["consumer_type", "geo", "country_name", "time"]
     assert [(r.consumer_type, r.time) for r in t.collect()] == [("a", "2020-S1"), ("a", None), ("b", "2020-S1")]
+
+
+def test_gate_publishes_tables_without_copy(spark, tmp_dir, tables):
+    s, m = tables
+    for run in ("r1", "r2"):
+        publish.gated_publish(
+            spark,
+            [("mart", m, quality.MART_RULES, "pc_serving.mart_energy_prices")],
+            f"{tmp_dir}/{run}",
+            targets_are_tables=True,
+        )
+        assert spark.table("pc_serving.mart_energy_prices").count() == m.count()
+    loc = spark.sql("describe table extended pc_serving.mart_energy_prices").where("col_name = 'Location'").first()
+    assert loc.data_type.rstrip("/").endswith("r2/mart")

@@ -6,7 +6,7 @@
   values such as 0.01045 (mean of 0.0104 and 0.0105).
 * ``to_decimal(x, p, s)``: double -> DECIMAL(p, s) through the same rounding.
 * ``decimal_mean(sum, count, s)``: ``avg`` of a DECIMAL(p, s) column returns a
-  DOUBLE computed as unscaled-sum / (count * 10^s).
+  DOUBLE computed as double(exact sum) / count.
 
 All are plain Catalyst expressions (codegen, no Python).
 """
@@ -34,12 +34,12 @@ def to_decimal(c: Column, precision: int, scale: int) -> Column:
 def decimal_mean(total: Column, count: Column, scale: int) -> Column:
     """Mean of a DECIMAL(p, scale) column as DOUBLE from its exact sum and count.
 
-    ``total`` is the exact decimal sum; the unscaled sum is an integer, so its
-    double is exact below 2^53 and the single division is correctly rounded.
+    The original engine converts the exact decimal sum to DOUBLE (correctly
+    rounded) and divides by the count in DOUBLE; doing the same keeps ties
+    such as 20.6637 / 6 on the same side (3.4439499999999996, not 3.44395).
+    ``scale`` is kept for the signature; the decimal type carries it.
     """
-    m = float(10**scale)
-    unscaled = (total * F.lit(10**scale)).cast("double")
-    return F.when(count > 0, unscaled / (count.cast("double") * F.lit(m)))
+    return F.when(count > 0, total.cast("double") / count.cast("double"))
 
 
 def pct_change(current: Column, prior: Column, scale: int = 2) -> Column:

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from .exact_dedup import OP2_SQL, op2_exact_dedup
+from .sentencepiece_bpe import op1_sentencepiece
 
 QUERIES = {
+    "op1_sentencepiece": op1_sentencepiece,
     "op2_exact_dedup": op2_exact_dedup,
 }
 

@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -234,7 +235,8 @@ class Tokenizer:
         return out.removeprefix(" ") if self.v.dummy_prefix else out
 
 
-_tokenizers: dict[int, Tokenizer] = {}
+#: One tokenizer a worker and model, kept from task to task.
+_tokenizers: dict[str, Tokenizer] = {}
 
 
 def tokenize(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False, with_decoded: bool = False) -> DataFrame:
@@ -246,12 +248,16 @@ def tokenize(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col:
     independent.  A task holds one batch of texts and a bounded memory of runs.
     """
     v = docs.sparkSession.sparkContext.broadcast(Vocabulary.load(model_path))
+    tag = uuid.uuid4().hex
     kept = docs.schema[id_col].dataType.simpleString()
     schema = f"`{id_col}` {kept}, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
     schema += ", ids array<int>" * with_ids + ", decoded string" * with_decoded
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tok = _tokenizers.get(v.id) or _tokenizers.setdefault(v.id, Tokenizer(v.value))
+        if tag not in _tokenizers:
+            _tokenizers.clear()
+            _tokenizers[tag] = Tokenizer(v.value)
+        tok = _tokenizers[tag]
         for batch in batches:
             n, ids_sha, text_sha, all_ids, all_decoded = [], [], [], [], []
             for value in batch.column(1):

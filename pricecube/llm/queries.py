@@ -2,14 +2,22 @@
 
 from __future__ import annotations
 
+from .decontamination import OP3_SQL, op3_decontamination
 from .exact_dedup import OP2_SQL, op2_exact_dedup
+from .line_dedup import OP9_SQL, op9_line_dedup
 from .sentencepiece_bpe import op1_sentencepiece
+from .url_filter import op5_url_filter
 
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_exact_dedup": op2_exact_dedup,
+    "op3_decontamination": op3_decontamination,
+    "op5_url_filter": op5_url_filter,
+    "op9_line_dedup": op9_line_dedup,
 }
 
 ORACLES = {
     "op2_exact_dedup": OP2_SQL,
+    "op3_decontamination": OP3_SQL,
+    "op9_line_dedup": OP9_SQL,
 }

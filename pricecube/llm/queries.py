@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from .decontamination import OP3_SQL, op3_decontamination
 from .exact_dedup import OP2_SQL, op2_exact_dedup
+from .language_id import op6_language_id
 from .line_dedup import OP9_SQL, op9_line_dedup
+from .quality import op7_quality
 from .sentencepiece_bpe import op1_sentencepiece
 from .url_filter import op5_url_filter
 
@@ -13,6 +15,8 @@ QUERIES = {
     "op2_exact_dedup": op2_exact_dedup,
     "op3_decontamination": op3_decontamination,
     "op5_url_filter": op5_url_filter,
+    "op6_language_id": op6_language_id,
+    "op7_quality": op7_quality,
     "op9_line_dedup": op9_line_dedup,
 }
 

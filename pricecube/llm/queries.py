@@ -9,6 +9,7 @@ from .line_dedup import OP9_SQL, op9_line_dedup
 from .quality import op7_quality
 from .sentencepiece_bpe import op1_sentencepiece
 from .url_filter import op5_url_filter
+from .warc import OP10_SQL, op10_warc
 
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
@@ -18,10 +19,12 @@ QUERIES = {
     "op6_language_id": op6_language_id,
     "op7_quality": op7_quality,
     "op9_line_dedup": op9_line_dedup,
+    "op10_warc": op10_warc,
 }
 
 ORACLES = {
     "op2_exact_dedup": OP2_SQL,
     "op3_decontamination": OP3_SQL,
     "op9_line_dedup": OP9_SQL,
+    "op10_warc": OP10_SQL,
 }

@@ -6,6 +6,7 @@ from .decontamination import OP3_SQL, op3_decontamination
 from .exact_dedup import OP2_SQL, op2_exact_dedup
 from .language_id import op6_language_id
 from .line_dedup import OP9_SQL, op9_line_dedup
+from .near_dedup import op8_near_dedup
 from .quality import op7_quality
 from .sentencepiece_bpe import op1_sentencepiece
 from .url_filter import op5_url_filter
@@ -18,6 +19,7 @@ QUERIES = {
     "op5_url_filter": op5_url_filter,
     "op6_language_id": op6_language_id,
     "op7_quality": op7_quality,
+    "op8_near_dedup": op8_near_dedup,
     "op9_line_dedup": op9_line_dedup,
     "op10_warc": op10_warc,
 }

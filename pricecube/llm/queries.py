@@ -9,6 +9,7 @@ from .line_dedup import OP9_SQL, op9_line_dedup
 from .near_dedup import op8_near_dedup
 from .quality import op7_quality
 from .sentencepiece_bpe import op1_sentencepiece
+from .suffix_dedup import op4_suffix_dedup
 from .url_filter import op5_url_filter
 from .warc import OP10_SQL, op10_warc
 
@@ -16,6 +17,7 @@ QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_exact_dedup": op2_exact_dedup,
     "op3_decontamination": op3_decontamination,
+    "op4_suffix_dedup": op4_suffix_dedup,
     "op5_url_filter": op5_url_filter,
     "op6_language_id": op6_language_id,
     "op7_quality": op7_quality,

@@ -33,6 +33,23 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, made longer until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def columns(df: DataFrame) -> list[Column]:
+    """All columns of ``df`` by their names, whatever characters those hold."""
+    return [F.col(quoted(c)) for c in df.columns]
+
+
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def fold_ascii(text: Column) -> Column:
     """Null as empty, A-Z in lower case, all else as it is.  ``lower`` does just
     that to pure ASCII and is much faster than ``translate``."""

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import table, written
+from .common import fresh, quoted, table, written
 
 RATIO, MIN_PAGES = 0.1, 5
 
@@ -22,8 +22,9 @@ def line_key(line: Column) -> Column:
     return F.unhex(F.md5(F.trim(line)))
 
 
-def line_dedup(docs: DataFrame, ratio: float = RATIO, min_pages: int = MIN_PAGES, host_col: str = "source", text_col: str = "text") -> DataFrame:
-    """All columns of ``docs`` with ``text`` cleaned, and n_lines, n_dropped.
+def line_dedup(docs: DataFrame, ratio: float = RATIO, min_pages: int = MIN_PAGES, host_col: str = "source", text_col: str = "text", counts: bool = True) -> DataFrame:
+    """All columns of ``docs`` with ``text`` cleaned; with ``counts`` also n_lines
+    and n_dropped, in place of any columns of those names.
 
     Lines end at ``\\n`` and are compared without spaces around them; blank lines
     are never dropped.  A line that a page repeats counts once for that page and
@@ -31,28 +32,30 @@ def line_dedup(docs: DataFrame, ratio: float = RATIO, min_pages: int = MIN_PAGES
     null, with no lines; text whose lines all go becomes empty.  Rows are never
     dropped; repeated rows count as pages of their own.
     """
-    host = F.coalesce(F.concat(F.lit("h"), F.col(host_col)), F.lit(""))
-    lines = F.split(F.col(text_col), "\n")
-    slim = docs.select(host.alias("_host"), F.array_distinct(F.transform(F.filter(lines, lambda x: F.trim(x) != ""), line_key)).alias("keys"))
-    pages = docs.select(host.alias("_host")).groupBy("_host").agg(F.count(F.lit(1)).alias("pages"))
-    counted = slim.select("_host", F.explode("keys").alias("key")).groupBy("_host", "key").agg(F.count(F.lit(1)).alias("n"))
+    site, drop, kept = fresh(docs, "_site"), fresh(docs, "_drop"), fresh(docs, "_kept")
+    text, host = F.col(text_col), F.coalesce(F.concat(F.lit("h"), F.col(host_col)), F.lit(""))
+    lines = F.split(text, "\n")
+    slim = docs.select(host.alias("site"), F.array_distinct(F.transform(F.filter(lines, lambda x: F.trim(x) != ""), line_key)).alias("keys"))
+    pages = docs.select(host.alias("site")).groupBy("site").agg(F.count(F.lit(1)).alias("pages"))
+    counted = slim.select("site", F.explode("keys").alias("key")).groupBy("site", "key").agg(F.count(F.lit(1)).alias("n"))
     boilerplate = written(
         counted.where(F.col("n") >= min_pages)
-        .join(pages, "_host")
+        .join(pages, "site")
         .where(F.col("n") > F.lit(ratio) * F.col("pages"))
-        .groupBy("_host")
-        .agg(F.collect_set("key").alias("_drop")),
+        .groupBy(F.col("site").alias(site))
+        .agg(F.collect_set("key").alias(drop)),
         "boilerplate",
     )
-    joined = docs.withColumn("_host", host).join(boilerplate, "_host", "left")
-    kept = F.filter(lines, lambda x: (F.trim(x) == "") | ~F.array_contains(F.col("_drop"), line_key(x)))
-    cleaned = joined.withColumn("_kept", F.when(F.col("_drop").isNull(), F.lit(None)).otherwise(kept))
-    n_lines = F.when(F.col(text_col).isNull(), F.lit(0)).otherwise(F.size(lines))
-    return cleaned.select(
-        *[F.when(F.col("_kept").isNull(), F.col(c)).otherwise(F.array_join("_kept", "\n")).alias(c) if c == text_col else F.col(f"`{c}`") for c in docs.columns],
-        n_lines.alias("n_lines"),
-        F.when(F.col("_kept").isNull(), F.lit(0)).otherwise(n_lines - F.size("_kept")).alias("n_dropped"),
-    )
+    joined = docs.withColumn(site, host).join(boilerplate, site, "left")
+    left = F.filter(lines, lambda x: (F.trim(x) == "") | ~F.array_contains(F.col(drop), line_key(x)))
+    cleaned = joined.withColumn(kept, F.when(F.col(drop).isNotNull() & text.isNotNull(), left))
+    n_lines = F.when(text.isNull(), F.lit(0)).otherwise(F.size(lines))
+    out = {c: F.col(quoted(c)) for c in docs.columns}
+    out[text_col] = F.coalesce(F.array_join(kept, "\n"), text)
+    if counts:
+        out["n_lines"] = n_lines
+        out["n_dropped"] = F.when(F.col(kept).isNull(), F.lit(0)).otherwise(n_lines - F.size(kept))
+    return cleaned.select(*[value.alias(name) for name, value in out.items()])
 
 
 def op9_line_dedup(spark, sf_dir: str) -> DataFrame:

@@ -116,45 +116,47 @@ def fit(x: np.ndarray, label: np.ndarray, pairs: int = PAIRS, ridge: float = RID
     return Ranking(mean, scale, w, float(np.log(cut / (1 - cut)) - edge))
 
 
-def described(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    kept = docs.schema[id_col].dataType.simpleString()
+def described(docs: DataFrame, kept: list[str], text_col: str) -> DataFrame:
+    """The columns ``kept`` and the features ``x`` of each text."""
+    schema = "".join(f"`{c}` {docs.schema[c].dataType.simpleString()}, " for c in kept)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row, end, data, offsets in text_chunks(batch.column(1)):
+            for row, end, data, offsets in text_chunks(batch.column("_text")):
                 x = features(data, offsets)
                 values = pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), x.shape[1]).cast(pa.list_(pa.float64()))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(row, end - row), values], [id_col, "x"])
+                yield pa.RecordBatch.from_arrays([*[batch.column(c).slice(row, end - row) for c in kept], values], [*kept, "x"])
 
-    return docs.select(F.col(id_col), F.col(text_col).alias("_text")).mapInArrow(run, f"`{id_col}` {kept}, x array<double>")
+    return docs.select(*kept, F.col(text_col).alias("_text")).mapInArrow(run, schema + "x array<double>")
 
 
-def quality_scores(docs: DataFrame, labels: DataFrame, train, cut: float = CUT, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> DataFrame:
-    """(id, score, predicted), a row per input row; ``train`` says of an id column
+def quality_scores(docs: DataFrame, labels: DataFrame, train, cut: float = CUT, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", carry: list[str] | None = None) -> DataFrame:
+    """(id, ..., score, predicted), a row per input row; ``train`` says of an id column
     which labelled rows may be learnt from.
 
     Null and blank texts have the features zero and so all get one and the same
     score.  Rows with a null id or a null label teach nothing; repeated rows teach
-    once each.  Without rows of both labels every score is 0.5.  Other columns
-    are ignored.
+    once each.  Without rows of both labels every score is 0.5.  Columns of
+    ``carry`` go through as they are; others are ignored.
     """
-    known = written(described(docs, id_col, text_col), "features")
+    kept = [id_col, *(carry or [])]
+    known = written(described(docs, kept, text_col), "features")
     taught = labels.where(train(F.col(id_col)) & F.col(label_col).isNotNull()).select(id_col, F.col(label_col).cast("int").alias("label"))
     chosen = known.join(taught, id_col).orderBy(F.xxhash64(id_col), id_col).limit(sample).select("x", "label").toPandas()
     n = len(features(np.zeros(0, np.uint8), np.zeros(1, np.int64))[0:0].T)
     x = np.array(chosen["x"].tolist(), float).reshape(len(chosen), n)
     model = fit(x, chosen["label"].to_numpy(int), cut=cut)
-    kept = docs.schema[id_col].dataType.simpleString()
+    schema = "".join(f"`{c}` {docs.schema[c].dataType.simpleString()}, " for c in kept)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            values = batch.column(1).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
+            values = batch.column("x").flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
             score = model.score(values)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(score), pa.array((score >= cut).astype(np.int32))], [id_col, "score", "predicted"])
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], pa.array(score), pa.array((score >= cut).astype(np.int32))], [*kept, "score", "predicted"])
 
-    return known.mapInArrow(run, f"`{id_col}` {kept}, score double, predicted int")
+    return known.mapInArrow(run, schema + "score double, predicted int")
 
 
 def fold(id_col, parts: int):

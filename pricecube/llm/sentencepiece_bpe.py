@@ -17,6 +17,7 @@ remembered, which the few million words of a language make worthwhile.
 
 from __future__ import annotations
 
+import codecs
 import hashlib
 import re
 import uuid
@@ -39,6 +40,10 @@ NEVER = float("-inf")
 MODEL = "piece_bpe_32k.model"
 
 
+# The library gives one replacement character for each byte that is no UTF-8.
+codecs.register_error("each_byte", lambda e: ("\ufffd" * (e.end - e.start), e.end))
+
+
 @dataclass(frozen=True)
 class Vocabulary:
     """What a model file says: its size bounds what is sent to the executors."""
@@ -198,11 +203,11 @@ class Tokenizer:
             if i in self.byte_of:
                 pending.append(self.byte_of[i])
                 continue
-            out.append(pending.decode("utf-8", "replace"))
+            out.append(pending.decode("utf-8", "each_byte"))
             pending.clear()
             if i not in self.v.control:
                 out.append(self.by_id.get(i, " ⁇ "))
-        out.append(pending.decode("utf-8", "replace"))
+        out.append(pending.decode("utf-8", "each_byte"))
         return "".join(out).replace(SPACE, " ")
 
     def known_run(self, run: str) -> tuple[str, int, str]:
@@ -232,7 +237,8 @@ class Tokenizer:
 
     def decode(self, ids: list[int]) -> str:
         out = self.raw_decode(ids)
-        return out.removeprefix(" ") if self.v.dummy_prefix else out
+        prefixed = self.v.dummy_prefix and ids and self.by_id.get(ids[0], "").startswith(SPACE)
+        return out.removeprefix(" ") if prefixed else out
 
 
 #: One tokenizer a worker and model, kept from task to task.

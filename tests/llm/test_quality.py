@@ -1,0 +1,42 @@
+from __future__ import annotations
+
+import numpy as np
+from llm_cases import awkward, empty
+from pyspark.sql import functions as F
+
+from pricecube.llm.quality import fit, quality_scores
+from pricecube.llm.queries import QUERIES
+
+
+def test_held_out_accuracy(spark):
+    sf_dir = "/root/testdata/sf0.1"
+    label = {r.doc_id: r.quality for r in spark.read.parquet(f"{sf_dir}/labels.parquet").collect()}
+    out = [r for r in QUERIES["op7_quality"](spark, sf_dir).collect() if r.held_out and r.doc_id in label]
+    good = [r.predicted for r in out if label[r.doc_id]]
+    bad = [r.predicted for r in out if not label[r.doc_id]]
+    assert len(bad) > 80 and np.mean(good) > 0.99 and np.mean(bad) < 0.03
+    assert all((r.score >= 0.3) == (r.predicted == 1) and 0 <= r.score <= 1 for r in out)
+
+
+def test_weights_minimise_the_pairwise_loss():
+    draw = np.random.default_rng(0)
+    x = draw.normal(size=(400, 3))
+    label = (x[:, 0] - 0.5 * x[:, 1] + 0.3 * draw.normal(size=400) > -0.8).astype(int)
+    model = fit(x, label, pairs=5)
+    z = np.clip((x - model.mean) / model.scale, -8, 8)
+    score = z @ model.weights
+    good, bad = score[label == 1], score[label == 0]
+    assert np.mean(good[:, None] > bad[None]) > 0.97
+    assert abs(np.mean(model.score(x) < 0.3) - np.mean(label == 0)) < 0.01  # the quantile
+
+
+def test_awkward_rows(spark):
+    docs = awkward(spark, [(400 + i, "clean words in a row" if i % 3 else "bad$$$ signs%%% here***", "en", "s") for i in range(60)])
+    labels = spark.createDataFrame([(400 + i, int(i % 3 > 0), "x") for i in range(50)] + [(None, 1, "x"), (1, None, "x"), (400, 0, "x")], "doc_id bigint, quality int, score string")
+    out = quality_scores(docs, labels, lambda i: F.lit(True)).collect()
+    assert len(out) == docs.count()
+    told = {r.doc_id: (r.score, r.predicted) for r in out}
+    assert told[1] == told[2] == told[3] and told[457][1] == 0 and told[458][1] == 1
+    assert {r.score for r in quality_scores(docs, labels.where("quality = 1"), lambda i: F.lit(True)).collect()} == {0.5}
+    assert {r.score for r in quality_scores(docs, labels.limit(0), lambda i: F.lit(True)).collect()} == {0.5}
+    assert quality_scores(empty(spark), labels, lambda i: F.lit(True)).collect() == []

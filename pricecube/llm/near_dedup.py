@@ -6,7 +6,9 @@
    one class at once.
 2. Classes that share a band are candidates.  The symmetric difference of two
    samples is read off the population count of the XOR of their odd sketches;
-   only pairs that may reach the similarity go on to the exact sets.
+   only pairs that may reach the similarity go on.  Candidates also have the
+   parity bitmap of their whole set: its XOR never has more bits than the sets
+   have differing shingles, so it rules out pairs without any error.
 3. A bucket's members are first compared with its most central member only (a
    star).  What is then still in different components of one bucket is compared
    pair by pair, so no link is lost to the star, and no pair within a component
@@ -36,6 +38,8 @@ THRESHOLD = 0.75
 BANDS, ROWS = 32, 4
 #: Bits of an odd sketch, and standard errors that its estimate is given.
 BITS, ERRORS = 512, 6.0
+#: Bits of the parity bitmap of a candidate's whole set.
+SET_BITS = 2048
 _draw = np.random.default_rng(2017)
 _MUL = _draw.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _ADD = _draw.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64)
@@ -75,12 +79,24 @@ def band_keys(minima: np.ndarray) -> np.ndarray:
     return out
 
 
+def parities(values: np.ndarray, first: np.ndarray, bits: int) -> np.ndarray:
+    """For each run of values, which begin at ``first``, the parity of how often
+    each bit is hit, as 64-bit words."""
+    bit = (mix(values ^ np.uint64(0x2545F4914F6CDD1D)) % np.uint64(bits)).astype(np.int64)
+    ends = np.append(first, len(values))
+    out = np.zeros((len(first), bits // 64), np.uint64)
+    for i in range(0, len(first), 1024):  # bounds the counters held at once
+        at = ends[i : i + 1025]
+        row = np.repeat(np.arange(len(at) - 1), np.diff(at))
+        hits = np.bincount(row * bits + bit[at[0] : at[-1]], minlength=(len(at) - 1) * bits)
+        out[i : i + 1024] = np.packbits((hits & 1).astype(np.uint8).reshape(-1, bits), axis=1).view(np.uint64)
+    return out
+
+
 def odd_sketches(minima: np.ndarray) -> np.ndarray:
-    """Parity bitmaps of the samples, as 64-bit words."""
+    """Odd sketches of MinHash samples: a value counts with its place in the sample."""
     n, k = minima.shape
-    bit = (mix(minima ^ mix(np.arange(1, k + 1, dtype=np.uint64))) % np.uint64(BITS)).astype(np.int64)
-    hits = np.bincount((np.arange(n)[:, None] * BITS + bit).ravel(), minlength=n * BITS).reshape(n, BITS)
-    return np.packbits((hits & 1).astype(np.uint8), axis=1).view(np.uint64)
+    return parities((minima ^ mix(np.arange(1, k + 1, dtype=np.uint64))).ravel(), np.arange(n) * k, BITS)
 
 
 def _lists(matrix: np.ndarray) -> pa.Array:
@@ -115,16 +131,17 @@ def signatures(docs: DataFrame) -> DataFrame:
 
 
 def shingle_sets(texts: DataFrame) -> DataFrame:
-    """(key, shingles) of a ``_text`` column; texts without words give no row."""
+    """(key, shingles, parity) of a ``_text`` column; texts without words give no
+    row.  ``parity`` is the parity bitmap of the whole set."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, _, data, offsets in text_chunks(batch.column(0)):
                 values, first, _, keys = sets(data, offsets)
                 lists = pa.ListArray.from_arrays(pa.array(np.append(first, len(values)), pa.int32()), pa.array(values.view(np.int64)))
-                yield pa.RecordBatch.from_arrays([_binary(keys), lists], ["key", "shingles"])
+                yield pa.RecordBatch.from_arrays([_binary(keys), lists, _lists(parities(values, first, SET_BITS))], ["key", "shingles", "parity"])
 
-    return texts.select("_text").mapInArrow(run, "key binary, shingles array<long>")
+    return texts.select("_text").mapInArrow(run, "key binary, shingles array<long>, parity array<long>")
 
 
 def may_link(n_a: Column, n_b: Column, shared: Column, threshold: float) -> Column:
@@ -183,6 +200,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, id_col: str =
         .groupBy("short")
         .agg(F.count(F.lit(1)).alias("own"))
     )
+    facts = ["n", "common", "sketch", "parity"]
     smallest = F.greatest("least", F.lit(threshold) * F.col("n"))
     linkable = written(
         wanted.withColumn("short", F.xxhash64("key"))
@@ -190,20 +208,26 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, id_col: str =
         .withColumn("common", F.col("n") - F.coalesce("own", F.lit(0)))
         .where(may_link(F.col("n"), smallest, F.col("common"), threshold))
         .join(classes.select("key", "sketch"), "key")
-        .select("key", "n", "common", "sketch"),
+        .join(found.select("key", "parity"), "key")
+        .select("key", *facts),
         "linkable",
     )
-    members = written(places.select("band", "key").join(linkable.select("key", "n", "common", "sketch"), "key"), "members")
+    members = written(places.select("band", "key").join(linkable, "key"), "members")
+
+    def differing(name: str) -> Column:
+        words = F.zip_with(name, f"_{name}", lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+        return F.aggregate(words, F.lit(0), lambda total, x: total + x)
 
-    flips = F.aggregate(F.zip_with("sketch", "_sketch", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
+    both = F.col("n") + F.col("_n")
     alike = (
         may_link(F.col("n"), F.col("_n"), F.least(F.col("common"), F.col("_common")), threshold)
         & (F.least(F.col("n"), F.col("_n")) >= F.lit(threshold) * F.greatest(F.col("n"), F.col("_n")))
-        & (flips <= most_flips(threshold))
+        & (differing("sketch") <= most_flips(threshold))
+        & (differing("parity") * F.lit(1 + threshold) <= F.lit(1 - threshold) * both)
     )
-    star = members.groupBy("band").agg(F.min(F.struct((F.lit(1) - F.col("common") / F.col("n")).alias("apart"), "key", "n", "common", "sketch")).alias("h"), F.count(F.lit(1)).alias("m"))
-    star = star.where("m > 1").select("band", F.col("h.key").alias("_key"), F.col("h.n").alias("_n"), F.col("h.common").alias("_common"), F.col("h.sketch").alias("_sketch"))
-    star = written(star, "stars")
+    apart = (F.lit(1) - F.col("common") / F.col("n")).alias("apart")
+    star = members.groupBy("band").agg(F.min(F.struct(apart, "key", *facts)).alias("h"), F.count(F.lit(1)).alias("m"))
+    star = written(star.where("m > 1").select("band", *[F.col(f"h.{c}").alias(f"_{c}") for c in ("key", *facts)]), "stars")
     pairs = members.join(star, "band").where((F.col("key") != F.col("_key")) & alike).select(F.col("key").alias("u"), F.col("_key").alias("v")).distinct()
     links = written(verified(pairs, found, threshold), "links")
     first = written(components(links), "components")
@@ -213,7 +237,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, id_col: str =
     labelled = written(labelled, "labelled")
     central = labelled.select(F.col("key").alias("_key"), F.col("band"), F.col("component").alias("of")).join(star.select("band", "_key"), ["band", "_key"]).drop("_key")
     outside = labelled.join(central, "band").where("component <> of").drop("of")
-    other = labelled.select("band", *[F.col(c).alias(f"_{c}") for c in ("key", "n", "common", "sketch", "component")])
+    other = labelled.select("band", *[F.col(c).alias(f"_{c}") for c in ("key", *facts, "component")])
     rest = (
         outside.join(other, "band")
         .where((F.col("component") != F.col("_component")) & alike)

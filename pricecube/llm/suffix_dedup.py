@@ -35,8 +35,9 @@ from pyspark.sql import functions as F
 from .common import CHUNK_BYTES, mix, powers, prefix_hashes, range_hashes, table, text_chunks, written
 
 LENGTH, GRAM = 200, 40
-#: Different contexts of an anchor that one task sorts at most.
-GROUP = 2000
+#: Different contexts of an anchor that one task sorts at most: of at most 360
+#: bytes each, so up to 18 MB and some seconds.
+GROUP = 50_000
 
 
 # --- anchors -------------------------------------------------------------------

@@ -55,7 +55,7 @@ def passages(spark):
     return awkward(spark, rows)
 
 
-@pytest.mark.parametrize("group", [2000, 3])
+@pytest.mark.parametrize("group", [suffix_dedup.GROUP, 3])
 def test_passages_and_awkward_rows(passages, group):
     check(passages, remove_repeats(passages, group=group))
 

@@ -26,6 +26,9 @@ RULES = (
     ("block", "net/fr/"),
 )
 SUPPORT, CONFIDENCE = 0.02, 0.8
+#: A combination on fewer labelled pages than this supports nothing; without it
+#: every combination on any page of a small table would count.
+LEAST_PAGES = 5
 #: Of a URL's path segments and query keys, so many of each become tokens.  The
 #: fixed rules see the whole URL.
 PARTS = 8
@@ -69,7 +72,9 @@ def tokens(url: Column, host_col: Column, path_col: Column) -> Column:
 def learn(baskets: DataFrame, verdict: str, support: float, confidence: float) -> DataFrame:
     """(rule_id, tokens, confidence, support) from (tokens, verdict) rows."""
     items = baskets.select(F.concat("tokens", F.array(F.concat(F.lit(VERDICT), "verdict"))).alias("items"))
-    model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=confidence).fit(items)
+    # Half a page less, so that rounding does not ask for one more.
+    least = min(1.0, max(support, (LEAST_PAGES - 0.5) / max(items.count(), 1)))
+    model = FPGrowth(itemsCol="items", minSupport=least, minConfidence=confidence).fit(items)
     found = model.associationRules.where(F.col("consequent") == F.array(F.lit(VERDICT + verdict)))
     found = written(
         found.select(F.array_sort("antecedent").alias("tokens"), "confidence", "support").withColumn("rule_id", F.xxhash64("tokens")),

@@ -5,7 +5,7 @@ import re
 from collections import Counter
 
 from pricecube.llm.queries import QUERIES
-from pricecube.llm.url_filter import CONFIDENCE, PARTS, RULES, SUPPORT, url_filter
+from pricecube.llm.url_filter import CONFIDENCE, LEAST_PAGES, PARTS, RULES, SUPPORT, url_filter
 
 
 def split(url):
@@ -39,7 +39,8 @@ def plain(urls):
     judged = [(u, *split(u), *rule_of(*split(u))) for u in urls]
     taught = [(tokens(u), v) for u, _, _, _, v in judged if v]
     single = Counter(t for ts, _ in taught for t in ts)
-    often = {t for t, n in single.items() if n >= SUPPORT * len(taught)}
+    least = min(len(taught), max(SUPPORT * len(taught), LEAST_PAGES))
+    often = {t for t, n in single.items() if n >= least}
     total, block = Counter(), Counter()
     for ts, v in taught:
         ts = sorted(ts & often)
@@ -47,7 +48,7 @@ def plain(urls):
             for s in itertools.combinations(ts, k):
                 total[s] += 1
                 block[s] += v == "block"
-    rules = {frozenset(s) for s, n in block.items() if n >= SUPPORT * len(taught) and n >= CONFIDENCE * total[s]}
+    rules = {frozenset(s) for s, n in block.items() if n >= least and n >= CONFIDENCE * total[s]}
     out = []
     for u, h, p, r, v in judged:
         if v is None:

@@ -11,6 +11,7 @@ import json
 import os
 import statistics
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -34,6 +35,14 @@ HEADLINE = [
     "multi_dataset_union",
     "country_lookup",
     "raw_tidy",
+    "csv_roundtrip",
+    "raw_load",
+    "load_once",
+    "export_staging",
+    "export_summary",
+    "mart_table",
+    "gated_publish",
+    "cube_stream_load",
 ]
 
 
@@ -52,7 +61,11 @@ def main() -> None:
         f"local[{cpus}]",
         app_name="pricecube-bench",
         shuffle_partitions=int(cpus),
-        extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")},
+        extra={
+            "spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g"),
+            "spark.checkpoint.dir": tempfile.mkdtemp(prefix="pricecube-bench-ckpt-"),
+            "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="pricecube-bench-wh-"),
+        },
     )
     for k in keys:  # warm-up: JIT, file listing caches, Python workers
         run(spark, k, sf_dir)

@@ -52,9 +52,8 @@ SAMPLE_ROWS = 5
 RAW_PRIORITY = ["consumer_type", "geo", "country_name", "time"]
 # Raw sort order after tidying.
 RAW_SORT = ["consumer_type", "geo", "time", "nrg_cons", "tax", "currency"]
-# --- end of fixed values ------------------------------------------------------
-
-# Table names used by the quality checks and the serving layer.
+# Table names as the original's reports and rules show them.
 RAW_TABLE = "raw_electricity_prices"
 STG_TABLE = "stg_electricity_prices"
 MART_TABLE = "mart_energy_prices"
+# --- end of fixed values ------------------------------------------------------

@@ -31,13 +31,12 @@ def to_decimal(c: Column, precision: int, scale: int) -> Column:
     return round_half_away(c.cast("double"), scale).cast(DecimalType(precision, scale))
 
 
-def decimal_mean(total: Column, count: Column, scale: int) -> Column:
-    """Mean of a DECIMAL(p, scale) column as DOUBLE from its exact sum and count.
+def decimal_mean(total: Column, count: Column) -> Column:
+    """Mean of a DECIMAL column as DOUBLE from its exact sum and count.
 
     The original engine converts the exact decimal sum to DOUBLE (correctly
     rounded) and divides by the count in DOUBLE; doing the same keeps ties
     such as 20.6637 / 6 on the same side (3.4439499999999996, not 3.44395).
-    ``scale`` is kept for the signature; the decimal type carries it.
     """
     return F.when(count > 0, total.cast("double") / count.cast("double"))
 

@@ -21,9 +21,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pricecube.constants import MART_BAND, PRICE_SCALE, TIER_PRIORITY
+from pricecube.constants import MART_BAND, TIER_PRIORITY
 from pricecube.functions import decimal_mean, pct_change, round_half_away, tier_rank, year_of
 
+#: Modal tier where labels outside the priority list prevail.
+UNLISTED = "(unlisted)"
 KEYS = ["country_code", "year", "consumer_type"]
 MART_COLUMNS = [
     "country_code",
@@ -58,7 +60,7 @@ def _stats() -> list[Column]:
 
 
 def _avg() -> Column:
-    return round_half_away(decimal_mean(F.col("_sum"), F.col("_n"), PRICE_SCALE), 4)
+    return round_half_away(decimal_mean(F.col("_sum"), F.col("_n")), 4)
 
 
 def annual_prices(stg: DataFrame, band: str | None = MART_BAND) -> DataFrame:
@@ -84,7 +86,7 @@ def tier_counts(stg: DataFrame, band: str | None = MART_BAND) -> DataFrame:
     )
 
 
-def mode_expr(counts: Sequence[Column], labels: Sequence[str]) -> Column:
+def mode_expr(counts: Sequence[Column], labels: Sequence[Column]) -> Column:
     """Label with the highest count; ties go to the earlier label."""
     expr = None
     for i, (ci, label) in enumerate(zip(counts, labels)):
@@ -92,32 +94,34 @@ def mode_expr(counts: Sequence[Column], labels: Sequence[str]) -> Column:
         for j, cj in enumerate(counts):
             if j != i:
                 cond = cond & (ci >= cj)
-        expr = F.when(cond, F.lit(label)) if expr is None else expr.when(cond, F.lit(label))
+        expr = F.when(cond, label) if expr is None else expr.when(cond, label)
     return expr
 
 
 def _tier_count_cols(priority: Sequence[str]) -> list[Column]:
+    """A count for each listed tier; rows of any other label are counted apart, so
+    that the quality rules see it where they prevail."""
     c = F.col("price_category")
-    known = [c == t for t in priority[:-1]]
-    cols = [F.count_if(k).alias(f"_t{i}") for i, k in enumerate(known)]
-    # the last tier also takes any unlisted label, as the CASE rank does
-    rest = F.lit(True)
-    for k in known:
-        rest = rest & ~F.coalesce(k, F.lit(False))
-    cols.append(F.count_if(rest).alias(f"_t{len(priority) - 1}"))
-    return cols
+    other = ~F.coalesce(c.isin(list(priority)), F.lit(False))
+    return [
+        *[F.count_if(c == t).alias(f"_t{i}") for i, t in enumerate(priority)],
+        F.count_if(other).alias("_tx"),
+    ]
+
+
+def _mode(priority: Sequence[str]) -> Column:
+    """The modal tier of an aggregate of ``_tier_count_cols``.  Where unlisted
+    labels prevail it is ``UNLISTED``, which no quality rule accepts: keeping the
+    labels themselves would need text in the aggregate's buffer, which Spark then
+    sorts.  ``tier_mode_general`` returns the label."""
+    counts = [F.col(f"_t{i}") for i in range(len(priority))]
+    return mode_expr([*counts, F.col("_tx")], [*map(F.lit, priority), F.lit(UNLISTED)])
 
 
 def tier_mode(stg: DataFrame, band: str | None = MART_BAND, priority: Sequence[str] = TIER_PRIORITY) -> DataFrame:
     """AGG-3 in one hash aggregate: mode of the tier with priority tie-break."""
-    cnt = _tier_count_cols(priority)
-    names = [f"_t{i}" for i in range(len(priority))]
-    return (
-        _with_year(_band(stg, band))
-        .groupBy(*KEYS)
-        .agg(*cnt)
-        .select(*KEYS, mode_expr([F.col(n) for n in names], priority).alias("price_category_mode"))
-    )
+    tiers = _with_year(_band(stg, band)).groupBy(*KEYS).agg(*_tier_count_cols(priority))
+    return tiers.select(*KEYS, _mode(priority).alias("price_category_mode"))
 
 
 def tier_mode_general(
@@ -177,7 +181,6 @@ def mart(stg: DataFrame, band: str | None = MART_BAND, priority: Sequence[str] =
     cond = F.col("country_code").isNotNull() & F.col("consumer_type").isNotNull() & year.isNotNull()
     if band is not None:
         cond = (F.col("nrg_cons") == band) & cond
-    names = [f"_t{i}" for i in range(len(priority))]
     agg = (
         stg.where(cond)
         .groupBy("country_code", "country_name", year.alias("year"), "consumer_type")
@@ -193,7 +196,7 @@ def mart(stg: DataFrame, band: str | None = MART_BAND, priority: Sequence[str] =
         avg.alias("avg_price_eur_per_kwh"),
         "min_price",
         "max_price",
-        mode_expr([F.col(n) for n in names], priority).alias("price_category_mode"),
+        _mode(priority).alias("price_category_mode"),
         F.lag(avg, 1).over(w).alias("prior_year_avg_price"),
     )
     return annual.select(

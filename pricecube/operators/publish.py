@@ -1,12 +1,13 @@
 """Loading and publishing: batch timestamp, load-once, export, gated publish.
 
-Targets are paths on the shared file system (or JDBC URLs for the serving
-database).  Every write is a distributed write by the executors; nothing is
+Loads and exports go to paths on the shared file system (or JDBC URLs for the
+serving database); published tables are catalog entries over such files.  Every write is a distributed write by the executors; nothing is
 pulled to the driver.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,7 +16,7 @@ from pyspark.sql.types import DecimalType
 
 from pricecube.constants import EXPORT_BATCH_ROWS
 from pricecube.operators import quality
-from pricecube.sources.catalog import path_exists
+from pricecube.sources.catalog import path_complete, table_exists
 
 
 class QualityGateError(RuntimeError):
@@ -39,19 +40,21 @@ def with_load_timestamp(df: DataFrame, as_of: str | None = None, column: str = "
 
 
 def load_once(
-    spark: SparkSession, df: DataFrame, path: str, as_of: str | None = None, fmt: str = "parquet"
+    spark: SparkSession, df: DataFrame, path: str, as_of: str | None = None, fmt: str = "parquet", refresh: bool = False
 ) -> tuple[bool, DataFrame]:
-    """Load ``df`` with a batch timestamp unless ``path`` already holds a table.
+    """Load ``df`` with a batch timestamp unless ``path`` already holds a finished
+    load.  Returns (whether this call wrote, stored table).
 
-    Returns (loaded, stored table).  Reruns keep the first load (the original
-    behaviour); pass a new path or delete the old one to reload.  The write
-    itself uses mode ``ignore``, so a concurrent first load cannot be
-    overwritten either.
+    Reruns keep the first load (the original behaviour); ``refresh`` replaces it.
+    What a crashed load left behind is overwritten.
     """
-    if path_exists(spark, path):
-        return False, spark.read.format(fmt).load(path)
-    with_load_timestamp(df, as_of).write.mode("ignore").format(fmt).save(path)
-    return True, spark.read.format(fmt).load(path)
+    wrote = refresh or not path_complete(spark, path)
+    if wrote:
+        with_load_timestamp(df, as_of).write.mode("overwrite").format(fmt).save(path)
+    reader = spark.read.format(fmt)
+    if fmt not in ("parquet", "orc"):  # other formats do not keep the schema
+        reader = reader.schema(with_load_timestamp(df).schema)
+    return wrote, reader.load(path)
 
 
 def materialize_view(df: DataFrame, name: str) -> DataFrame:
@@ -112,12 +115,19 @@ def export_table(
     out.write.mode("overwrite").format(fmt).save(target)
 
 
-def export_summary(spark: SparkSession, tables: Sequence[tuple[str, DataFrame]]) -> DataFrame:
-    """Rows per exported table plus a total row (table_name NULL -> 'TOTAL').
+def export_all(spark: SparkSession, tables: Sequence[tuple[str, DataFrame]], root: str) -> DataFrame:
+    """Export every table under ``root``, then report (table_name, rows) of what
+    the exported copies hold, and a TOTAL row."""
+    stored = []
+    for name, df in tables:
+        target = f"{root.rstrip('/')}/{name}"
+        export_table(df, target)
+        stored.append((name, spark.read.parquet(target)))
+    return export_summary(stored)
 
-    One count aggregate per table, unioned and rolled up; the result has one
-    row per table.
-    """
+
+def export_summary(tables: Sequence[tuple[str, DataFrame]]) -> DataFrame:
+    """Rows per stored table plus a total row: one count aggregate per table."""
     parts = None
     for name, df in tables:
         c = df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("table_name"), "rows")
@@ -126,6 +136,14 @@ def export_summary(spark: SparkSession, tables: Sequence[tuple[str, DataFrame]])
     return rolled.select(F.coalesce("table_name", F.lit("TOTAL")).alias("table_name"), "rows")
 
 
+def table_location(spark: SparkSession, table: str) -> str | None:
+    """Where a catalog table's files are; None when there is no such table."""
+    if not table_exists(spark, table):
+        return None
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'")
+    return rows.first().data_type
+
+
 def point_table_at(spark: SparkSession, table: str, location: str, fmt: str = "parquet") -> None:
     """Publish by metadata: (re)point a catalog table at validated files.
 
@@ -134,7 +152,7 @@ def point_table_at(spark: SparkSession, table: str, location: str, fmt: str = "p
     """
     if "." in table:
         ensure_database(spark, table.split(".", 1)[0])
-    if spark.catalog.tableExists(table):
+    if table_exists(spark, table):
         spark.sql(f"ALTER TABLE {table} SET LOCATION '{location}'")
         spark.catalog.refreshTable(table)
     else:
@@ -146,33 +164,39 @@ def gated_publish(
     candidates: Sequence[tuple[str, DataFrame, Sequence[quality.Rule], str]],
     staging_root: str,
     fmt: str = "parquet",
-    targets_are_tables: bool = False,
 ) -> DataFrame:
-    """Write every candidate to a staging path, run the rule suite on the
-    staged copies, and only when every rule passes publish them.
-
-    ``candidates``: (table_name, df, rules, target).  On failure raises
-    ``QualityGateError`` and no target is touched.  The staged copies cut the
-    lineage, so the suite and the publish read files, not the plan again.
-    Targets are paths (the staged files are copied there) or, with
-    ``targets_are_tables``, catalog tables that are re-pointed at the staged
-    files without copying (use a fresh ``staging_root`` per run).
-    Returns the suite results.
+    """Write every candidate once, run the rule suite on the written files, and
+    only when every rule passes point the target tables at them.
+
+    ``candidates``: (table_name, df, rules, target table).  On a failing rule
+    ``QualityGateError`` is raised and no target is touched.  When a target
+    cannot be pointed at its files, those already done are pointed back (or
+    dropped, if new) before the error goes on, so either all targets change or
+    none.  Every run writes under a fresh folder of ``staging_root``; files that
+    an earlier run published stay for their readers.  Returns the suite results.
     """
+    run = f"{staging_root.rstrip('/')}/{uuid.uuid4().hex}"
     staged = []
     for name, df, rules, target in candidates:
-        path = f"{staging_root.rstrip('/')}/{name}"
-        df.write.mode("overwrite").format(fmt).save(path)
-        staged.append((name, spark.read.format(fmt).load(path), rules, target))
+        df.write.format(fmt).save(f"{run}/{name}")
+        staged.append((name, spark.read.format(fmt).load(f"{run}/{name}"), rules, target))
     results = quality.suite([(n, d, r) for n, d, r, _ in staged])
     failing = results.where(F.col("status") == "FAIL").select("table_name", "test", "column_name", "failures")
-    bad = failing.limit(20).collect()  # bounded: at most one row per rule
+    bad = failing.collect()  # a row for each failing rule of the caller's rules
     if bad:
         detail = ", ".join(f"{r.table_name}.{r.column_name} {r.test}={r.failures}" for r in bad)
         raise QualityGateError(f"quality gate failed: {detail}")
-    for name, df, _, target in staged:
-        if targets_are_tables:
-            point_table_at(spark, target, f"{staging_root.rstrip('/')}/{name}", fmt)
-        else:
-            df.write.mode("overwrite").format(fmt).save(target)
+    before = [(target, table_location(spark, target)) for _, _, _, target in staged]
+    done: list[tuple[str, str | None]] = []
+    try:
+        for (name, _, _, target), old in zip(staged, before):
+            point_table_at(spark, target, f"{run}/{name}", fmt)
+            done.append(old)
+    except Exception:
+        for target, location in reversed(done):
+            if location is None:
+                spark.sql(f"DROP TABLE IF EXISTS {target}")
+            else:
+                point_table_at(spark, target, location, fmt)
+        raise
     return results

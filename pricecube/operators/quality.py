@@ -213,15 +213,6 @@ def _profile(df: DataFrame, columns: Sequence[str], extra: Sequence[Column] = ()
     )
 
 
-def _profile_nulls(prof: DataFrame, table_name: str, columns: Sequence[str]) -> DataFrame:
-    rows = prof.select(
-        F.inline(
-            F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"_null_{c}").alias("nulls")) for c in columns])
-        )
-    )
-    return rows.select(F.lit(table_name).alias("table_name"), "column_name", "nulls")
-
-
 def report(
     stg: DataFrame,
     mart: DataFrame,
@@ -232,9 +223,10 @@ def report(
 ) -> DataFrame:
     """The six report sections as (section, item, value, status) text rows.
 
-    All scalar checks of a table come from ONE aggregate (row count, latest
-    period, NULL counts, anomaly count); each profile is a single DataFrame
-    used by several sections, so its exchange is computed once and reused.
+    Rows come in the order of the sections, and within them as the checks are
+    listed or by key.  All scalar checks of a table come from ONE aggregate (row
+    count, latest period, NULL counts, anomaly count).  Several sections read the
+    tables, so pass stored ones.
     """
     stg_cols = [c for t, c in checks if t == "stg"]
     mart_cols = [c for t, c in checks if t == "mart"]
@@ -243,59 +235,44 @@ def report(
     sp = _profile(stg, stg_cols, [F.max("period").alias("latest_period")])
     mp = _profile(mart, mart_cols, [F.count_if(anomalous).alias("anomalies")])
 
-    def count_row(prof: DataFrame, name: str) -> DataFrame:
-        return prof.select(
-            F.lit(1).alias("section"),
-            F.lit(name).alias("item"),
-            F.format_number("rows", 0).alias("value"),
-            F.when(F.col("rows") == 0, "WARN").otherwise("OK").alias("status"),
-        )
-
-    s2 = sp.select(
-        F.lit(2).alias("section"),
-        F.lit("latest_period").alias("item"),
-        F.coalesce("latest_period", F.lit("no data found")).alias("value"),
-        F.when(F.col("latest_period").isNull(), "WARN").otherwise("OK").alias("status"),
-    )
-    per_country = mart.groupBy("country_code", "country_name").agg(F.count(F.lit(1)).alias("rows"))
-    s3 = per_country.select(
-        F.lit(3).alias("section"),
-        F.concat_ws(" ", "country_code", "country_name").alias("item"),
-        F.format_number("rows", 0).alias("value"),
-        F.lit("OK").alias("status"),
-    )
-    s3_empty = mp.where(F.col("rows") == 0).select(
-        F.lit(3).alias("section"), F.lit("rows").alias("item"), F.lit("0").alias("value"), F.lit("WARN").alias("status")
-    )
-    nulls = _profile_nulls(sp, STG_TABLE, stg_cols).unionByName(_profile_nulls(mp, MART_TABLE, mart_cols))
-    s4 = nulls.select(
-        F.lit(4).alias("section"),
-        F.concat_ws(".", "table_name", "column_name").alias("item"),
-        F.col("nulls").cast("string").alias("value"),
-        F.when(F.col("nulls") > 0, "FAIL").otherwise("OK").alias("status"),
-    )
-    s5 = mart.where(anomalous).select(
-        F.lit(5).alias("section"),
-        F.concat_ws(" ", "country_code", "consumer_type", F.col("year").cast("string")).alias("item"),
-        F.format_string("%.4f", "avg_price_eur_per_kwh").alias("value"),
-        F.lit("WARN").alias("status"),
-    )
-    s5_none = mp.where(F.col("anomalies") == 0).select(
-        F.lit(5).alias("section"), F.lit("anomalies").alias("item"), F.lit("0").alias("value"), F.lit("OK").alias("status")
-    )
+    none = F.lit(None).cast("double")
 
-    def yoy(increases: bool) -> DataFrame:
-        top = serving.yoy_extremes(mart, k, increases)
-        tag = "increase" if increases else "decrease"
-        pct = _pct(F.col("yoy_change_pct"))
-        return top.select(
-            F.lit(6).alias("section"),
-            F.concat_ws(" ", F.lit(tag), "country_code", "consumer_type", F.col("year").cast("string")).alias("item"),
-            (F.concat(F.lit("+"), pct) if increases else pct).alias("value"),
-            F.lit("").alias("status"),
+    def rows(df: DataFrame, section: int, item: Column, value: Column, status, part: int = 0, key=F.lit(""), rank: Column = none) -> DataFrame:
+        return df.select(
+            F.lit(section).alias("section"), item.alias("item"), value.alias("value"), status.alias("status"),
+            F.lit(part).alias("_part"), rank.alias("_rank"), key.alias("_key"),
         )
 
-    out = count_row(sp, STG_TABLE).unionByName(count_row(mp, MART_TABLE))
-    for p in (s2, s3, s3_empty, s4, s5, s5_none, yoy(True), yoy(False)):
-        out = out.unionByName(p)
-    return out
+    def warn_if(cond: Column) -> Column:
+        return F.when(cond, "WARN").otherwise("OK")
+
+    n = F.col("rows")
+    per_country = mart.groupBy("country_code", "country_name").agg(F.count(F.lit(1)).alias("rows"))
+    grain = F.concat_ws(" ", "country_code", "consumer_type", F.col("year").cast("string"))
+    out = [
+        rows(sp, 1, F.lit(STG_TABLE), F.format_number("rows", 0), warn_if(n == 0), 0),
+        rows(mp, 1, F.lit(MART_TABLE), F.format_number("rows", 0), warn_if(n == 0), 1),
+        rows(sp, 2, F.lit("latest_period"), F.coalesce("latest_period", F.lit("no data found")), warn_if(F.col("latest_period").isNull())),
+        rows(per_country, 3, F.concat_ws(" ", "country_code", "country_name"), F.format_number("rows", 0), F.lit("OK"), key=F.col("country_code")),
+        rows(mp.where(n == 0), 3, F.lit("rows"), F.lit("0"), F.lit("WARN")),
+        rows(mp, 5, F.lit("anomalies"), F.col("anomalies").cast("string"), warn_if(F.col("anomalies") > 0)),
+        rows(mart.where(anomalous), 5, grain, F.format_string("%.4f", "avg_price_eur_per_kwh"), F.lit("WARN"), 1, grain),
+    ]
+    nulls = [(sp, STG_TABLE, c) for c in stg_cols] + [(mp, MART_TABLE, c) for c in mart_cols]
+    for prof, names in ((sp, stg_cols), (mp, mart_cols)):
+        listed = F.array(*[
+            F.struct(F.lit(i).alias("i"), F.lit(f"{t}.{c}").alias("name"), F.col(f"_null_{c}").alias("nulls"))
+            for i, (p, t, c) in enumerate(nulls) if p is prof
+        ])
+        if names:
+            each = prof.select(F.inline(listed))
+            out.append(rows(each, 4, F.col("name"), F.col("nulls").cast("string"), _status(F.col("nulls"), "FAIL", "OK"), rank=F.col("i").cast("double")))
+    for part, (tag, sign) in enumerate((("increase", "+"), ("decrease", ""))):
+        change = F.col("yoy_change_pct")
+        top = serving.yoy_extremes(mart, k, increases=part == 0)
+        item = F.concat_ws(" ", F.lit(tag), grain)
+        out.append(rows(top, 6, item, F.concat(F.lit(sign), _pct(change)), F.lit(""), part, grain, change if part else -change))
+    report_rows = out[0]
+    for part in out[1:]:
+        report_rows = report_rows.unionByName(part)
+    return report_rows.orderBy("section", "_part", "_rank", "_key").drop("_part", "_rank", "_key")

@@ -86,6 +86,18 @@ def prices_summary(mart: DataFrame) -> DataFrame:
     )
 
 
+def prices_summary_count(mart: DataFrame) -> DataFrame:
+    """The summary's year and number of rows: the rows of each year, of which the
+    latest is taken (one pass; a row per year)."""
+    per_year = mart.groupBy("year").agg(F.count(F.lit(1)).alias("count"))
+    return per_year.agg(F.max("year").alias("year"), F.coalesce(F.max_by("count", "year"), F.lit(0)).alias("count"))
+
+
+def prices_yoy_count(mart: DataFrame) -> DataFrame:
+    """Number of rows with a YoY change."""
+    return mart.agg(F.count("yoy_change_pct").alias("count"))
+
+
 def prices_yoy(mart: DataFrame) -> DataFrame:
     """Rows with a YoY change, biggest change first."""
     return (

@@ -14,31 +14,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-import functools
-
 from pricecube.session import read_table
 
 AS_OF = "2025-01-01 00:00:00"
 
-_VIEWS: dict[tuple, DataFrame] = {}
-
-
-def _view(fn):
-    """Memoize an input view per (session, arguments): the views stand for
-    input tables, so each is built (and analyzed) once per session."""
-
-    @functools.wraps(fn)
-    def wrapper(spark: SparkSession, sf_dir: str, *args):
-        key = (fn.__name__, id(spark), sf_dir, *args)
-        df = _VIEWS.get(key)
-        if df is None or df.sparkSession is not spark:
-            df = fn(spark, sf_dir, *args)
-            _VIEWS[key] = df
-        return df
-
-    return wrapper
-
-
 def as_of_literal(ts: str = AS_OF) -> Column:
     return F.lit(ts).cast("timestamp_ntz")
 
@@ -50,7 +29,6 @@ def _half(date: Column, first: str, second: str) -> Column:
     )
 
 
-@_view
 def obs(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = read_table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_totalprice", "o_orderdate"
@@ -103,13 +81,11 @@ RAW_COLUMNS = [
 ]
 
 
-@_view
 def raw(spark: SparkSession, sf_dir: str, as_of: str = AS_OF) -> DataFrame:
     """``obs`` as the loaded raw table: the 19 raw columns plus a batch timestamp."""
     return obs(spark, sf_dir).select(*RAW_COLUMNS, as_of_literal(as_of).alias("loaded_at"))
 
 
-@_view
 def obs_half(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One observation per (geo, type, half-year): the source's real grain."""
     o = obs(spark, sf_dir)
@@ -120,7 +96,6 @@ def obs_half(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@_view
 def raw_half(spark: SparkSession, sf_dir: str, as_of: str = AS_OF) -> DataFrame:
     """``obs_half`` shaped as raw rows in EUR, taxes included, all bands."""
     h = obs_half(spark, sf_dir)
@@ -134,7 +109,6 @@ def raw_half(spark: SparkSession, sf_dir: str, as_of: str = AS_OF) -> DataFrame:
     )
 
 
-@_view
 def raw_dirty(spark: SparkSession, sf_dir: str, as_of: str = AS_OF) -> DataFrame:
     """Raw rows with a bad consumer type, missing names and missing values."""
     o = obs(spark, sf_dir)

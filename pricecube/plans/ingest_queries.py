@@ -16,7 +16,7 @@ from pricecube.sources import catalog, cube, datasets, files
 
 # --- hypercube documents --------------------------------------------------------
 
-CELL_DIMS = ["freq", "nrg_cons", "tax", "currency", "geo", "time"]
+CELL_DIMS = cube.CUBE_DIMS
 CELL_LABELS = {d: f"{d}_label" for d in CELL_DIMS}
 
 
@@ -44,8 +44,8 @@ def landed_docs(spark, sf_dir):
 
 _CELLS_SQL = """
 cells as (
-  select consumer_type, freq, nrg_cons, tax, currency, geo, time,
-         freq_label, nrg_cons_label, tax_label, currency_label, geo_label, time_label,
+  select consumer_type, freq, siec, nrg_cons, unit, tax, currency, geo, time,
+         freq_label, siec_label, nrg_cons_label, unit_label, tax_label, currency_label, geo_label, time_label,
          min_by(value_eur_per_kwh, obs_id) as value_eur_per_kwh
   from obs
   group by all)
@@ -57,12 +57,12 @@ cells as (
     with_ctes("obs")
     + ","
     + _CELLS_SQL
-    + """select consumer_type, freq, freq_label, nrg_cons, nrg_cons_label, tax, tax_label, currency, currency_label,
-       geo, geo_label, time, time_label, value_eur_per_kwh from cells""",
+    + """select consumer_type, freq, freq_label, siec, siec_label, nrg_cons, nrg_cons_label, unit, unit_label,
+       tax, tax_label, currency, currency_label, geo, geo_label, time, time_label, value_eur_per_kwh from cells""",
 )
 def q_cube_decode(spark, sf_dir):
     docs = landed_docs(spark, sf_dir)
-    dec = cube.decode(docs, CELL_DIMS, carry=["dataset"], value_col="value_eur_per_kwh")
+    dec = cube.decode(docs, carry=["dataset"], value_col="value_eur_per_kwh")
     return dec.select(
         cube.dataset_label(F.col("dataset")).alias("consumer_type"),
         *[c for d in CELL_DIMS for c in (d, f"{d}_label")],
@@ -222,20 +222,24 @@ def q_raw_tidy(spark, sf_dir):
 # --- landing and loading -----------------------------------------------------------
 
 
+_AWKWARD = {1: "", 2: "  spaces at the ends ", 3: 'a "quoted" word, a comma', 4: "backslash at the end\\", 5: "two\nlines", 6: '"', 7: " "}
+_AWKWARD_SQL = "case qty " + " ".join(f"when {q} then '{t}'" for q, t in _AWKWARD.items()) + " else nrg_cons_label end"
+
+
 @register(
     "csv_roundtrip",
     with_ctes("obs")
     + f"""select consumer_type, geo, country_name, time, freq, freq_label, siec, siec_label,
-       nrg_cons, nullif(case when qty = 1 then '' else nrg_cons_label end, '') as nrg_cons_label,
+       nrg_cons, nullif({_AWKWARD_SQL}, '') as nrg_cons_label,
        unit, unit_label, tax, tax_label, currency, currency_label, geo_label, time_label, value_eur_per_kwh
 from obs""",
 )
 def q_csv_roundtrip(spark, sf_dir):
-    o = fx.obs(spark, sf_dir).withColumn(
-        "nrg_cons_label", F.when(F.col("qty") == 1, F.lit("")).otherwise(F.col("nrg_cons_label"))
-    )
+    label = F.col("nrg_cons_label")
+    for qty, text in _AWKWARD.items():
+        label = F.when(F.col("qty") == qty, F.lit(text)).otherwise(label)
     path = scratch_path(spark, "csv")
-    files.write_csv(o.select(*fx.RAW_COLUMNS), path)
+    files.write_csv(fx.obs(spark, sf_dir).withColumn("nrg_cons_label", label).select(*fx.RAW_COLUMNS), path)
     return files.read_csv(spark, path, RAW)
 
 
@@ -350,8 +354,8 @@ union all select '{MART_TABLE}', count(*) from mart
 union all select 'TOTAL', (select count(*) from stg) + (select count(*) from mart)""",
 )
 def q_export_summary(spark, sf_dir):
-    return publish.export_summary(spark, [(STG_TABLE, stg(spark, sf_dir)), (MART_TABLE, mart(spark, sf_dir))])
-
+    tables = [(STG_TABLE, stg(spark, sf_dir)), (MART_TABLE, mart(spark, sf_dir))]
+    return publish.export_all(spark, tables, scratch_path(spark, "export"))
 
 
 # --- incremental load (Structured Streaming) ---------------------------------------
@@ -362,8 +366,8 @@ def q_export_summary(spark, sf_dir):
     with_ctes("obs")
     + ","
     + _CELLS_SQL
-    + f"""select c.consumer_type, c.geo, d.name as country_name, c.time, c.freq, c.freq_label,
-       c.nrg_cons, c.nrg_cons_label, c.tax, c.tax_label, c.currency, c.currency_label, c.geo_label, c.time_label,
+    + f"""select c.consumer_type, c.geo, d.name as country_name, c.time, c.freq, c.freq_label, c.siec, c.siec_label,
+       c.nrg_cons, c.nrg_cons_label, c.unit, c.unit_label, c.tax, c.tax_label, c.currency, c.currency_label, c.geo_label, c.time_label,
        c.value_eur_per_kwh, 1 as batches
 from cells c left join {_DICT_SQL} on c.geo = d.geo
 where cast(left(c.time, 4) as integer) between 1993 and 1997""",

@@ -3,8 +3,8 @@
 Library code never changes cluster settings of an existing session; the
 builder below is for local runs, tests and the benchmark.  Scratch output
 (sinks that are read back, lineage cuts) always lands under the folder the
-cluster names in ``spark.checkpoint.dir``; only when that is unset (tests) do
-we pick one ourselves.
+cluster names in ``spark.checkpoint.dir``; only in local mode do we pick one
+ourselves where that is unset.
 """
 
 from __future__ import annotations
@@ -50,8 +50,8 @@ def get_session(
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for lineage cuts and scratch tables.
 
-    Reads the session's checkpoint directory; sets a private one only when the
-    cluster names none (local tests).
+    Reads the session's checkpoint directory; sets a private one only in local
+    mode (tests), and raises on a cluster that names none.
     """
     try:
         sc = spark.sparkContext
@@ -65,7 +65,9 @@ def checkpoint_root(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        configured = tempfile.mkdtemp(prefix="pricecube-ckpt-")
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
+        configured = tempfile.mkdtemp(prefix="pricecube-ckpt-")  # one process: tests, bench
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
@@ -80,19 +82,6 @@ def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
 
-_BASE_TABLES: dict[tuple[int, str], object] = {}
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str):
-    """The driver's (read-only) input table.
-
-    The base relation is memoized per session, so building a query does not
-    list the files and read the footers again each time; every query still
-    gets its own plan from Catalyst.
-    """
-    key = (id(spark), table_path(sf_dir, name))
-    df = _BASE_TABLES.get(key)
-    if df is None or df.sparkSession is not spark:
-        df = spark.read.parquet(key[1])
-        _BASE_TABLES[key] = df
-    return df
+    """One of the driver's input tables, as its files are now."""
+    return spark.read.parquet(table_path(sf_dir, name))

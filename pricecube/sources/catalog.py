@@ -10,13 +10,11 @@ def table_exists(spark: SparkSession, name: str) -> bool:
     return spark.catalog.tableExists(name)
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """True when ``path`` holds a readable dataset (any Hadoop file system)."""
-    try:
-        spark.read.format("parquet").load(path).schema  # noqa: B018 - metadata only
-        return True
-    except Exception:  # noqa: BLE001 - AnalysisException when missing
-        return False
+def path_complete(spark: SparkSession, path: str) -> bool:
+    """True when a write to ``path`` has finished, on any file system and in any
+    format: Spark's commit leaves the marker, a crashed write does not."""
+    marker = spark._jvm.org.apache.hadoop.fs.Path(path.rstrip("/") + "/_SUCCESS")
+    return marker.getFileSystem(spark._jsc.hadoopConfiguration()).exists(marker)
 
 
 def schema_frame(spark: SparkSession, schema: StructType) -> DataFrame:

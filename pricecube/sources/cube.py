@@ -7,11 +7,12 @@ indexes written as text.  Missing cells are absent.
 
 Decoding is pure Catalyst (higher-order functions, no Python rows):
 
-* strides: ``stride[k] = product(size[k+1:])``
-* per dimension, the index map is inverted once per document
-  (position -> code, position -> label) *before* the value map is exploded;
-* each exploded cell computes ``pos[k] = (i div stride[k]) mod size[k]`` and
-  looks up code (default ``pos{n}``) and label (default ``''``).
+* once for each document, in a projection *below* the explode of its values:
+  the strides ``stride[k] = product(size[k+1:])`` and, for each dimension, an
+  array of (code, label) by position;
+* for each cell only arithmetic and array access:
+  ``pos[k] = (i div stride[k]) mod size[k]``, then the entry at that position
+  (defaults: code ``pos{n}``, label ``''``).
 
 A document is one row, so its explode runs in one task: land many documents
 (per dataset and country) for parallelism, and pass ``partitions`` to spread
@@ -28,7 +29,7 @@ from pyspark.sql import functions as F
 from pricecube.constants import DATASETS
 from pricecube.schemas import CUBE
 
-CUBE_DIMS = ["freq", "nrg_cons", "tax", "currency", "geo", "time"]
+CUBE_DIMS = ["freq", "siec", "nrg_cons", "unit", "tax", "currency", "geo", "time"]
 
 
 def read_cube_json(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
@@ -62,75 +63,103 @@ def strides(size: Column) -> Column:
     )
 
 
-def _inverted_codes(doc: Column) -> Column:
-    """ARRAY (per dimension id) of MAP<position, code>."""
-    return F.transform(
-        doc["id"],
-        lambda name: F.map_from_entries(
-            F.transform(
-                F.map_entries(doc["dimension"][name]["category"]["index"]),
-                lambda e: F.struct(e["value"].alias("k"), e["key"].alias("v")),
-            )
-        ),
+def _let(value: Column, body) -> Column:
+    """``body(value)`` with the value worked out once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _by_position(category: Column, size: Column) -> Column:
+    """ARRAY<STRUCT<code, label>> indexed by position, below ``size``.
+
+    Of two codes on one position the later one counts.  Positions without a
+    code are NULL, codes without a label have label ''.
+    """
+    index = F.coalesce(F.map_entries(category["index"]), F.array().cast("array<struct<key:string,value:int>>"))
+    label = F.coalesce(category["label"], F.create_map().cast("map<string,string>"))
+    placed = F.filter(
+        F.transform(index, lambda e, i: F.struct(e["key"].alias("code"), e["value"].alias("p"), i.alias("i"))),
+        lambda e: (e["p"] >= 0) & (e["p"] < size),
     )
 
+    def labelled(codes: Column) -> Column:
+        # Maps are searched from their start, so where both maps have the same
+        # codes they are sorted and zipped instead.
+        def zipped(known: Column) -> Column:
+            same = F.transform(codes, lambda e: e["code"]) == F.transform(known, lambda e: e["key"])
+            return F.when(
+                same, F.zip_with(codes, known, lambda e, k: F.struct(e["p"].alias("p"), e["i"].alias("i"), e["code"].alias("code"), k["value"].alias("label")))
+            ).otherwise(
+                F.transform(codes, lambda e: F.struct(e["p"].alias("p"), e["i"].alias("i"), e["code"].alias("code"), F.try_element_at(label, e["code"]).alias("label")))
+            )
+
+        return _let(F.array_sort(F.map_entries(label)), zipped)
 
-def _inverted_labels(doc: Column) -> Column:
-    """ARRAY (per dimension id) of MAP<position, label>; labels of codes
-    without a position can never match a cell and are left out."""
+    def dense(entries: Column) -> Column:
+        last = F.filter(entries, lambda e, i: F.coalesce(F.get(entries, i + 1)["p"] != e["p"], F.lit(True)))
 
-    def one(name: Column) -> Column:
-        cat = doc["dimension"][name]["category"]
-        return F.map_from_entries(
-            F.transform(
-                F.filter(F.map_entries(cat["label"]), lambda e: F.map_contains_key(cat["index"], e["key"])),
-                lambda e: F.struct(cat["index"][e["key"]].alias("k"), e["value"].alias("v")),
+        def filled(found: Column) -> Column:
+            out = F.transform(found, lambda e: F.struct(e["code"].alias("code"), F.coalesce(e["label"], F.lit("")).alias("label")))
+            top = F.element_at(found, -1)["p"]
+            gaps = F.map_from_arrays(F.transform(found, lambda e: e["p"]), out)
+            return F.when((F.size(found) == 0) | (top == F.size(found) - 1), out).otherwise(
+                F.transform(F.sequence(F.lit(0), top), lambda at: F.try_element_at(gaps, at))
             )
-        )
 
-    return F.transform(doc["id"], one)
+        return _let(last, filled)
+
+    return _let(F.array_sort(_let(F.array_sort(placed), labelled)), dense)
+
+
+def document_dims(docs: DataFrame, doc_col: str = "doc") -> list[str]:
+    """All dimension ids that the documents list: the known ones first, then the
+    others by name.  One job; its result has a row for each different id."""
+    ids = docs.select(F.explode(F.col(doc_col)["id"]).alias("id")).distinct()
+    found = {r.id for r in ids.collect() if r.id is not None}
+    return [d for d in CUBE_DIMS if d in found] + sorted(found - set(CUBE_DIMS))
 
 
 def decode(
     docs: DataFrame,
-    dims: Sequence[str] = CUBE_DIMS,
+    dims: Sequence[str] | None = None,
     doc_col: str = "doc",
     value_col: str = "value",
     carry: Sequence[str] | None = None,
     partitions: int | None = None,
 ) -> DataFrame:
-    """One row per observed cell: ``<dim>``, ``<dim>_label`` for each id in
-    ``dims`` (NULL when a document lacks that dimension), the value, and the
-    ``carry`` columns of the document row.
+    """One row per observed cell: ``<dim>``, ``<dim>_label`` for each dimension
+    (NULL when a document lacks it), the value, and the ``carry`` columns of the
+    document row.  Without ``dims`` all dimensions that the documents list are
+    decoded; a stream, which cannot look ahead, decodes ``CUBE_DIMS`` then.
 
     A flat index past the end wraps by modulo, as row-major unravelling does.
     """
     carry = [c for c in (carry if carry is not None else docs.columns) if c != doc_col]
+    if dims is None:
+        dims = CUBE_DIMS if docs.isStreaming else document_dims(docs, doc_col)
     doc = F.col(doc_col)
-    per_doc = docs.select(
+    per_doc: list[Column] = []
+    for k, d in enumerate(dims):
+        at = F.array_position(doc["id"], F.lit(d)).cast("int")
+        listed = at > 0
+        size = F.when(listed, F.element_at(doc["size"], at))
+        per_doc += [
+            size.cast("bigint").alias(f"_size{k}"),
+            F.when(listed, F.element_at(strides(doc["size"]), at)).alias(f"_stride{k}"),
+            F.when(listed, _by_position(doc["dimension"][d]["category"], size)).alias(f"_at{k}"),
+        ]
+    exploded = docs.select(*carry, *per_doc, doc["value"].alias("_cells")).select(
         *carry,
-        doc["id"].alias("_id"),
-        doc["size"].alias("_size"),
-        strides(doc["size"]).alias("_stride"),
-        _inverted_codes(doc).alias("_codes"),
-        _inverted_labels(doc).alias("_labels"),
-        F.explode(doc["value"]).alias("_key", value_col),
+        *[f"{n}{k}" for k in range(len(dims)) for n in ("_size", "_stride", "_at")],
+        F.explode("_cells").alias("_key", value_col),
     )
-    cells = per_doc.withColumn("_idx", F.col("_key").cast("bigint")).withColumn(
-        "_pos",
-        F.expr("transform(_stride, (s, i) -> pmod(_idx div s, cast(_size[i] as bigint)))"),
-    )
-    codes = F.expr(
-        "transform(_pos, (p, i) -> coalesce(try_element_at(_codes[i], cast(p as int)), concat('pos', p)))"
-    )
-    labels = F.expr("transform(_pos, (p, i) -> coalesce(try_element_at(_labels[i], cast(p as int)), ''))")
-    cells = cells.withColumn("_c", codes).withColumn("_l", labels)
     out_cols: list[Column] = [F.col(c) for c in carry]
-    for d in dims:
-        at = F.array_position(F.col("_id"), F.lit(d))
-        out_cols.append(F.when(at > 0, F.element_at("_c", at.cast("int"))).alias(d))
-        out_cols.append(F.when(at > 0, F.element_at("_l", at.cast("int"))).alias(f"{d}_label"))
-    out = cells.select(*out_cols, F.col(value_col))
+    for k, d in enumerate(dims):
+        pos = F.expr(f"pmod(cast(_key as bigint) div _stride{k}, _size{k})")
+        entry = F.get(F.col(f"_at{k}"), pos.cast("int"))
+        listed = F.col(f"_size{k}").isNotNull()
+        out_cols.append(F.when(listed, F.coalesce(entry["code"], F.concat(F.lit("pos"), pos.cast("string")))).alias(d))
+        out_cols.append(F.when(listed, F.coalesce(entry["label"], F.lit(""))).alias(f"{d}_label"))
+    out = exploded.select(*out_cols, F.col(value_col))
     if partitions:
         # hash on the full cell coordinates: even spread, deterministic on retry
         out = out.repartition(partitions, *carry, *dims)

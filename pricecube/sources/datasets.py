@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 
 from pricecube.constants import COUNTRIES, END_YEAR, RAW_PRIORITY, RAW_SORT, START_YEAR
 from pricecube.functions import in_year_range
-from pricecube.operators.joins import lookup_join
 
 
 class NoDataError(RuntimeError):
@@ -21,22 +20,25 @@ def tag(df: DataFrame, label: str, column: str = "consumer_type") -> DataFrame:
     return df.withColumn(column, F.lit(label))
 
 
-def union_datasets(frames: Sequence[DataFrame], skip_empty: bool = True) -> DataFrame:
-    """Concatenate datasets by column name, keeping duplicates; a column
-    missing from one dataset is NULL there.
-
-    ``skip_empty`` drops datasets with no row (one cheap ``isEmpty`` job per
-    dataset, which stops at the first row) and raises when none is left.
-    """
-    kept = [f for f in frames if not (skip_empty and f.isEmpty())]
-    if not kept:
-        raise NoDataError("no dataset produced any observation")
-    out = kept[0]
-    for f in kept[1:]:
+def union_datasets(frames: Sequence[DataFrame]) -> DataFrame:
+    """Concatenate datasets by column name, keeping duplicates; a column missing
+    from one dataset is NULL there.  No job runs: an empty dataset adds no rows,
+    and ``require_rows`` at the sink tells whether any had some."""
+    if not frames:
+        raise NoDataError("no dataset was given")
+    out = frames[0]
+    for f in frames[1:]:
         out = out.unionByName(f, allowMissingColumns=True)
     return out
 
 
+def require_rows(df: DataFrame) -> DataFrame:
+    """Raise when no dataset produced a row (a job; call it before a sink)."""
+    if df.isEmpty():
+        raise NoDataError("no dataset produced any observation")
+    return df
+
+
 def filter_geo_in(df: DataFrame, codes: Sequence[str], column: str = "geo") -> DataFrame:
     """Source-side restriction to a list of countries (an IN list, pushed to
     the scan of a parquet source)."""
@@ -67,8 +69,9 @@ def lookup_country(
     """Insert the looked-up name; a miss is NULL.
 
     A Python mapping becomes a literal map expression (no join at all); a
-    dictionary DataFrame is left-joined, broadcast only after its row count is
-    checked (bounded count), otherwise as a regular join.
+    dictionary DataFrame is left-joined, and Spark picks the strategy from its
+    size.  The result has the rows of ``df``: of several names for one code the
+    first in order counts.
     """
     if isinstance(names, Mapping):
         if not names:
@@ -76,8 +79,8 @@ def lookup_country(
         m = F.create_map(*[F.lit(x) for kv in names.items() for x in kv])
         return df.withColumn(out_col, F.try_element_at(m, F.col(code_col)))
     key, value = names.columns[:2]
-    d = names.select(F.col(key).alias("_lk"), F.col(value).alias("_lv"))
-    joined = lookup_join(df, d, F.col(code_col) == F.col("_lk"), "left")
+    d = names.groupBy(F.col(key).alias("_lk")).agg(F.min(value).alias("_lv"))
+    joined = df.join(d, F.col(code_col) == F.col("_lk"), "left")
     return joined.drop("_lk", out_col).withColumnRenamed("_lv", out_col)
 
 
@@ -90,9 +93,10 @@ def reorder(df: DataFrame, priority: Sequence[str] = RAW_PRIORITY) -> DataFrame:
 def tidy(frames: Sequence[DataFrame], names=COUNTRIES, sort: Sequence[str] = RAW_SORT) -> DataFrame:
     """Union, look up names, reorder, sort (ascending, NULLs last).
 
-    The sort is a distributed range-partitioned sort; it only matters for a
-    single ordered output file, so callers writing partitioned tables may
-    drop it.
+    The sort is a distributed range-partitioned sort.  All other columns follow
+    ``sort`` as tie-breaks, so the rows of one hot sort key can still be split
+    over partitions, and the order is the same on every run.
     """
     df = reorder(lookup_country(union_datasets(frames), names))
-    return df.orderBy(*[F.col(c).asc_nulls_last() for c in sort])
+    keys = [*sort, *[c for c in df.columns if c not in sort]]
+    return df.orderBy(*[F.col(c).asc_nulls_last() for c in keys])

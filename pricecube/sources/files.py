@@ -2,6 +2,9 @@
 
 An empty field reads as NULL (``nullValue=''``), the same as the original
 loader; the schema is given, so there is no inference pass over the data.
+Texts come back as they were: spaces at their ends, quotes, backslashes and line
+breaks included.  A file that may hold line breaks within a field cannot be
+split, so its size should suit one task; Spark writes a file for each partition.
 """
 
 from __future__ import annotations
@@ -9,14 +12,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+#: The same on both sides: a quote within a field is doubled, no other escapes.
+FAITHFUL = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, "emptyValue": ""}
+
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
-    df.write.mode(mode).option("header", True).option("emptyValue", "").csv(path)
+    df.write.mode(mode).options(**FAITHFUL).csv(path)
     return path
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
-    reader = spark.read.option("header", True).option("nullValue", "").option("emptyValue", "")
+    reader = spark.read.options(**FAITHFUL).option("nullValue", "").option("multiLine", True)
     if schema is not None:
         reader = reader.schema(schema)
     else:  # fallback only: costs an extra pass over the files

@@ -7,6 +7,7 @@ import tempfile
 import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -15,7 +16,7 @@ SMALL = "/root/testdata/sf0.001"
 def spark():
     from pricecube.session import get_session
 
-    s = get_session("local[4]", app_name="pricecube-tests", shuffle_partitions=4)
+    s = get_session("local[4]", app_name="pricecube-tests", shuffle_partitions=4, extra={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="pricecube-test-ckpt-"), "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="pricecube-test-wh-")})
     yield s
     s.stop()
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime
 import decimal
 
-from pricecube.operators import annual
+from pricecube.operators import annual, quality
 from pricecube.schemas import STG
 
 TS = datetime.datetime(2025, 1, 1)
@@ -99,3 +99,13 @@ def test_mart_schema(spark):
         ("avg_price_eur_per_kwh", "double"), ("min_price", "decimal(10,4)"), ("max_price", "decimal(10,4)"),
         ("price_category_mode", "string"), ("prior_year_avg_price", "double"), ("yoy_change_pct", "double"),
     ]
+
+
+def test_an_unlisted_tier_label_is_not_masked(spark):
+    rows = [("household", "DE", "Germany", f"2020-S{i}", "TOT_KWH", "0.3000", tier) for i, tier in ((1, "Odd"), (2, "Odd"), (2, "Low"))]
+    rows += [("household", "FR", "France", "2020-S1", "TOT_KWH", "0.3000", "Odd"), ("household", "FR", "France", "2020-S2", "TOT_KWH", "0.3000", "Low")]
+    df = stg_rows(spark, rows)
+    for out, label in ((annual.mart(df), annual.UNLISTED), (annual.mart_two_step(df), "Odd")):
+        assert by_key(out)[("DE", "household", 2020)].price_category_mode == label
+    assert not quality.passed(quality.run_rules("mart", annual.mart(df), quality.MART_RULES))
+    assert by_key(annual.mart(df))[("FR", "household", 2020)].price_category_mode == "Low"

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import time
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -77,3 +78,25 @@ def test_encode_decode_identity(spark, cells):
     docs = cube.encode(df, ["g"], ["a", "t"], "v")
     back = cube.decode(docs, ["a", "t"], carry=["g"], value_col="v").select("g", "a", "t", "v")
     assert rows(back) == rows(df)
+
+
+def test_all_listed_dimensions_are_decoded(spark):
+    out = cube.decode(doc_frame(spark, UNIT), value_col="v")
+    assert out.columns == ["a", "a_label", "b", "b_label", "v"]
+    assert rows(out) == [("p", "P", "x", "X", 1.5), ("q", "Q", "y", "Y", 2.5)]
+
+
+def test_later_code_wins_on_a_shared_position(spark):
+    doc = json.loads(json.dumps(UNIT))
+    doc["dimension"]["a"]["category"] = {"index": {"p": 0, "z": 0, "q": 1, "far": 99, "neg": -1}, "label": {"z": "Z", "q": "Q", "other": "O"}}
+    assert rows(cube.decode(doc_frame(spark, doc), value_col="v")) == [("q", "Q", "y", "Y", 2.5), ("z", "Z", "x", "X", 1.5)]
+
+
+def test_four_thousand_categories_in_seconds(spark):
+    n = 4000
+    doc = {"id": ["a"], "size": [n], "dimension": {"a": {"category": {"index": {f"c{i}": i for i in range(n)}, "label": {f"c{i}": f"L{i}" for i in range(n)}}}}, "value": {str(i): float(i) for i in range(n)}}
+    docs = doc_frame(spark, doc)
+    began = time.perf_counter()
+    got = cube.decode(docs, value_col="v").collect()
+    assert time.perf_counter() - began < 20
+    assert len(got) == n and all((r.a, r.a_label) == (f"c{int(r.v)}", f"L{int(r.v)}") for r in got)

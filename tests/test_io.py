@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 from pricecube.operators import publish
 from pricecube.sources import catalog, files
 
@@ -31,9 +33,44 @@ def test_current_timestamp_is_one_per_batch(spark, tmp_dir):
     assert dict(loaded.dtypes)["loaded_at"] == "timestamp_ntz"
 
 
+def test_csv_returns_texts_as_they_were(spark, tmp_dir):
+    texts = [" lead trail ", "x\ny", 'a "quote"', '"', "back\\", 'back\\"', "a,b", "\t", " ", "'", "a\r\nb"]
+    df = spark.createDataFrame(list(enumerate(texts)), "k int, v string")
+    files.write_csv(df, f"{tmp_dir}/c")
+    assert sorted(tuple(r) for r in files.read_csv(spark, f"{tmp_dir}/c", df.schema).collect()) == list(enumerate(texts))
+
+
+def test_load_once_in_other_formats_and_with_refresh(spark, tmp_dir):
+    df = spark.createDataFrame([(1, "a"), (2, None)], "x int, y string")
+    for fmt in ("json", "orc"):
+        path = f"{tmp_dir}/{fmt}"
+        assert publish.load_once(spark, df, path, fmt=fmt)[0]
+        wrote, t = publish.load_once(spark, df.limit(1), path, fmt=fmt)
+        assert not wrote and t.count() == 2 and t.columns == ["x", "y", "loaded_at"]
+        wrote, t = publish.load_once(spark, df.limit(1), path, fmt=fmt, refresh=True)
+        assert wrote and t.count() == 1
+
+
+def test_load_after_a_crashed_load(spark, tmp_dir):
+    path = f"{tmp_dir}/raw"
+    os.makedirs(f"{path}/_temporary/0")
+    df = spark.createDataFrame([(1,)], "x int")
+    wrote, t = publish.load_once(spark, df, path)
+    assert wrote and t.count() == 1 and catalog.path_complete(spark, path)
+
+
+def test_stored_table_through_the_catalog(spark):
+    df = spark.range(5)
+    assert not catalog.table_exists(spark, "pc_store.t")
+    assert publish.materialize_table(spark, df, "pc_store.t").count() == 5
+    assert catalog.table_exists(spark, "pc_store.t")
+    assert publish.materialize_table(spark, df.limit(2), "pc_store.t").count() == 2
+
+
 def test_export_narrows_decimals_and_summary(spark, tmp_dir):
     df = spark.createDataFrame([("a", 1)], "k string, v int").selectExpr("k", "cast(0.1234 as decimal(10,4)) as p")
     publish.export_table(df, f"{tmp_dir}/exp")
     assert dict(spark.read.parquet(f"{tmp_dir}/exp").dtypes)["p"] == "double"
-    s = {r.table_name: r.rows for r in publish.export_summary(spark, [("t1", df), ("t2", df.union(df))]).collect()}
+    s = {r.table_name: r.rows for r in publish.export_all(spark, [("t1", df), ("t2", df.union(df))], f"{tmp_dir}/all").collect()}
     assert s == {"t1": 1, "t2": 2, "TOTAL": 3}
+    assert spark.read.parquet(f"{tmp_dir}/all/t2").count() == 2

@@ -33,7 +33,7 @@ def test_mean_of_two_prices_rounds_like_duckdb(spark):
             (2, decimal.Decimal("0.2501")), (3, None)]
     df = spark.createDataFrame(rows, "g int, p decimal(10,4)")
     out = df.groupBy("g").agg(F.sum("p").alias("s"), F.count("p").alias("n"))
-    got = {r.g: r.a for r in out.select("g", round_half_away(decimal_mean(F.col("s"), F.col("n"), 4), 4).alias("a")).collect()}
+    got = {r.g: r.a for r in out.select("g", round_half_away(decimal_mean(F.col("s"), F.col("n")), 4).alias("a")).collect()}
     assert got[1] == duck("select round(avg(x), 4) from (values (0.0104::decimal(10,4)), (0.0105)) t(x)")[0][0]
     assert got[1] == 0.0104
     assert got[2] == duck("select round(avg(x), 4) from (values (0.2500::decimal(10,4)), (0.2501)) t(x)")[0][0]
@@ -47,7 +47,7 @@ def test_mean_property_against_duckdb(spark, ints):
     vals = [decimal.Decimal(i).scaleb(-4) for i in ints]
     df = spark.createDataFrame([(v,) for v in vals], "p decimal(10,4)")
     got = df.agg(F.sum("p").alias("s"), F.count("p").alias("n")).select(
-        round_half_away(decimal_mean(F.col("s"), F.col("n"), 4), 4).alias("a")
+        round_half_away(decimal_mean(F.col("s"), F.col("n")), 4).alias("a")
     ).first().a
     values = ", ".join(f"({v}::decimal(10,4))" for v in vals)
     assert got == duck(f"select round(avg(x), 4) from (values {values}) t(x)")[0][0]

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pricecube.operators import annual, publish, quality, serving
 from pricecube.operators.staging import staging
 from pricecube.plans import fixtures as fx
-from pricecube.sources import datasets
+from pricecube.sources import catalog, datasets
 
 
 @pytest.fixture(scope="module")
@@ -74,15 +74,35 @@ def test_accepted_values_lets_null_pass(spark):
 
 def test_gate_blocks_and_publishes(spark, sf_dir, tmp_dir, tables):
     ds = staging(fx.raw_dirty(spark, sf_dir))
-    target = f"{tmp_dir}/published/stg"
-    with pytest.raises(publish.QualityGateError):
-        publish.gated_publish(spark, [("stg", ds, quality.STG_RULES, target)], f"{tmp_dir}/staging-bad")
-    from pricecube.sources.catalog import path_exists
-
-    assert not path_exists(spark, target)
+    many = [quality.not_null("price_eur_per_kwh")] * 25
+    with pytest.raises(publish.QualityGateError) as error:
+        publish.gated_publish(spark, [("stg", ds, many, "pc_gate.stg")], f"{tmp_dir}/staging")
+    assert str(error.value).count("stg.price_eur_per_kwh") == 25  # every failing rule is named
+    assert not catalog.table_exists(spark, "pc_gate.stg")
     s, _ = tables
-    publish.gated_publish(spark, [("stg", s, quality.STG_RULES, target)], f"{tmp_dir}/staging-ok")
-    assert spark.read.parquet(target).count() == s.count()
+    publish.gated_publish(spark, [("stg", s, quality.STG_RULES, "pc_gate.stg")], f"{tmp_dir}/staging")
+    assert spark.table("pc_gate.stg").count() == s.count()
+
+
+def test_all_targets_change_or_none(spark, tmp_dir, monkeypatch):
+    one, two = spark.range(1), spark.range(2)
+    publish.gated_publish(spark, [("a", one, [quality.not_null("id")], "pc_two.a"), ("b", one, [quality.not_null("id")], "pc_two.b")], tmp_dir)
+    point = publish.point_table_at
+
+    def failing(spark, table, location, fmt="parquet"):
+        if table == "pc_two.new" or (table == "pc_two.b" and "published" not in location):
+            raise RuntimeError("lost")
+        point(spark, table, location, fmt)
+
+    monkeypatch.setattr(publish, "point_table_at", failing)
+    for last in ("pc_two.b", "pc_two.new"):
+        targets = [("a", two, [quality.not_null("id")], "pc_two.a"), ("b", two, [quality.not_null("id")], last)]
+        with pytest.raises(RuntimeError):
+            publish.gated_publish(spark, targets, tmp_dir)
+    assert spark.table("pc_two.a").count() == 1 and spark.table("pc_two.b").count() == 1
+    with pytest.raises(RuntimeError):
+        publish.gated_publish(spark, [("a", two, [quality.not_null("id")], "pc_two.fresh"), ("b", two, [quality.not_null("id")], "pc_two.new")], tmp_dir)
+    assert not catalog.table_exists(spark, "pc_two.fresh")
 
 
 def test_report_sections(tables):
@@ -90,6 +110,24 @@ def test_report_sections(tables):
     rep = quality.report(s, m, 0.20, 0.30).collect()
     assert {r.section for r in rep} == {1, 2, 3, 4, 5, 6}
     assert sum(1 for r in rep if r.section == 6) == 6
+    assert [r.section for r in rep] == sorted(r.section for r in rep)
+    countries = [r.item for r in rep if r.section == 3]
+    assert countries == sorted(countries)
+    count, *listed = [r for r in rep if r.section == 5]
+    assert (count.item, count.value, count.status) == ("anomalies", str(len(listed)), "WARN") and listed
+    assert [r.item for r in listed] == sorted(r.item for r in listed)
+    changes = [float(r.value.strip("%")) for r in rep if r.section == 6]
+    assert changes[:3] == sorted(changes[:3], reverse=True) and changes[3:] == sorted(changes[3:])
+    calm = [r for r in quality.report(s, m, -1, 1000).collect() if r.section == 5]
+    assert [(r.item, r.value, r.status) for r in calm] == [("anomalies", "0", "OK")]
+
+
+def test_counts_of_summary_and_yoy(tables):
+    _, m = tables
+    summary = serving.prices_summary(m).collect()
+    assert tuple(serving.prices_summary_count(m).first()) == (summary[0].year, len(summary))
+    assert serving.prices_yoy_count(m).first()[0] == serving.prices_yoy(m).count()
+    assert tuple(serving.prices_summary_count(m.limit(0)).first()) == (None, 0)
 
 
 def test_union_and_empty_datasets(spark):
@@ -98,8 +136,17 @@ def test_union_and_empty_datasets(spark):
     empty = spark.createDataFrame([], "k string, v int")
     u = datasets.union_datasets([a, empty, b])
     assert sorted(tuple(r) for r in u.collect()) == [("x", 1), ("y", None)]
+    assert datasets.require_rows(u) is u
+    with pytest.raises(datasets.NoDataError):
+        datasets.require_rows(datasets.union_datasets([empty]))
     with pytest.raises(datasets.NoDataError):
-        datasets.union_datasets([empty])
+        datasets.union_datasets([])
+
+
+def test_lookup_keeps_the_row_count(spark):
+    df = spark.createDataFrame([("DE",), ("XX",)], "geo string")
+    names = spark.createDataFrame([("DE", "Germany"), ("DE", "Deutschland")], "geo string, name string")
+    assert sorted(tuple(r) for r in datasets.lookup_country(df, names).collect()) == [("DE", "Deutschland"), ("XX", None)]
 
 
 def test_year_filter(spark):
@@ -124,13 +171,9 @@ def test_lookup_and_tidy(spark):
 
 def test_gate_publishes_tables_without_copy(spark, tmp_dir, tables):
     s, m = tables
-    for run in ("r1", "r2"):
-        publish.gated_publish(
-            spark,
-            [("mart", m, quality.MART_RULES, "pc_serving.mart_energy_prices")],
-            f"{tmp_dir}/{run}",
-            targets_are_tables=True,
-        )
+    places = []
+    for _ in range(2):
+        publish.gated_publish(spark, [("mart", m, quality.MART_RULES, "pc_serving.mart_energy_prices")], tmp_dir)
         assert spark.table("pc_serving.mart_energy_prices").count() == m.count()
-    loc = spark.sql("describe table extended pc_serving.mart_energy_prices").where("col_name = 'Location'").first()
-    assert loc.data_type.rstrip("/").endswith("r2/mart")
+        places.append(publish.table_location(spark, "pc_serving.mart_energy_prices"))
+    assert len(set(places)) == 2 and all(p.rstrip("/").endswith("/mart") for p in places)

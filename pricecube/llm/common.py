@@ -106,8 +106,10 @@ def text_chunks(column: pa.ChunkedArray | pa.Array, max_bytes: int = CHUNK_BYTES
     column = column.cast(pa.large_binary())
     if column.null_count:
         column = column.fill_null(b"")
-    _, at, buf = column.buffers()
     n = len(column)
+    if not n:
+        return
+    _, at, buf = column.buffers()
     offsets = np.frombuffer(at, np.int64, n + 1, column.offset * 8)
     data = np.frombuffer(buf, np.uint8) if buf is not None and buf.size else np.zeros(0, np.uint8)
     row = 0

@@ -321,6 +321,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, group: int = GROUP, id
     empty, and texts shorter than ``length`` stay whole.  Null or repeated ids do
     not matter; other columns are ignored.
     """
+    if not GRAM <= length < 1024:
+        raise ValueError(f"length must be at least {GRAM} and below 1024")
     id_type = docs.schema[id_col].dataType.simpleString()
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
     seen = found_anchors(texts, length)

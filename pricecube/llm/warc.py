@@ -198,10 +198,10 @@ def normalise(archives: DataFrame, folder: str) -> DataFrame:
     return archives.select("path").mapInArrow(run, INDEX)
 
 
-def read_members(index: DataFrame, folder: str, id_type: str, with_payload: bool = False) -> DataFrame:
-    """Reads each indexed member alone.  A response's length and digest are those
-    of the payload read; a revisit's are the ones its header keeps."""
-    schema = f"id {id_type}, payload_bytes long, payload_digest string, record_type string, refers_to {id_type}" + ", payload binary" * with_payload
+def read_members(index: DataFrame, folder: str, with_payload: bool = False) -> DataFrame:
+    """Reads each indexed member alone; ids come as text.  A response's length and
+    digest are those of the payload read; a revisit's are the ones its header keeps."""
+    schema = "id string, payload_bytes long, payload_digest string, record_type string, refers_to string" + ", payload binary" * with_payload
 
     def page(urn: str | None):
         return re.sub(r"^<urn:page:|>$", "", urn) or None if urn else None
@@ -226,15 +226,14 @@ def read_members(index: DataFrame, folder: str, id_type: str, with_payload: bool
                     raise ValueError(f"{archive} at {offset}: the payload does not match its digest")
                 out.append((page(fields["WARC-Record-ID"]), size, digest, fields["WARC-Type"], page(fields.get("WARC-Refers-To")), payload))
             columns = list(zip(*out, strict=True)) or [()] * 6
-            ids = [pa.array(columns[i], pa.string()).cast(batch_type) for i in (0, 4)]
-            values = [ids[0], pa.array(columns[1], pa.int64()), pa.array(columns[2], pa.string()), pa.array(columns[3], pa.string()), ids[1]]
+            kinds = [pa.string(), pa.int64(), pa.string(), pa.string(), pa.string()]
+            values = [pa.array(c, k) for c, k in zip(columns, kinds, strict=False)]
             names = ["id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
             if with_payload:
                 values.append(pa.array(columns[5], pa.binary()))
                 names.append("payload")
             yield pa.RecordBatch.from_arrays(values, names)
 
-    batch_type = pa.int32() if id_type == "int" else pa.int64() if id_type == "bigint" else pa.string()
     return index.mapInArrow(run, schema)
 
 
@@ -254,8 +253,11 @@ def archive(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     # Archives are few and large, records many and small: deal out both.
     archives = raw.repartition(max(1, min(raw.count(), spark.sparkContext.defaultParallelism * 4)), "path")
     index = written(normalise(archives, f"{folder}/normal"), "warc-index")
-    out = read_members(index, f"{folder}/normal", pages.schema[id_col].dataType.simpleString())
-    return out.withColumnRenamed("id", id_col)
+    id_type = pages.schema[id_col].dataType
+    out = read_members(index, f"{folder}/normal")
+    return out.withColumn("refers_to", F.col("refers_to").cast(id_type)).select(
+        F.col("id").cast(id_type).alias(id_col), "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
 
 
 def op10_warc(spark, sf_dir: str) -> DataFrame:

@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import io
+import re
+import zipfile
+from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import pricecube
 from pricecube.session import scratch_path
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -33,6 +39,35 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def filesystem(uri: str) -> tuple[pafs.FileSystem, str]:
+    """The file system of the shared folder and the path in it."""
+    if uri.startswith("file:") or "://" not in uri:
+        return pafs.LocalFileSystem(), re.sub(r"^file:/*", "/", uri)
+    return pafs.FileSystem.from_uri(uri)
+
+
+_shipped: set[str] = set()
+
+
+def map_batches(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """``mapInArrow`` whose workers have this package: it is sent to them once an
+    application, since executors need not have the driver's Python path."""
+    sc = df.sparkSession.sparkContext
+    if sc.applicationId not in _shipped:
+        packed, root = io.BytesIO(), Path(pricecube.__file__).parent
+        with zipfile.ZipFile(packed, "w") as z:
+            for source in sorted(root.rglob("*.py")):
+                z.write(source, source.relative_to(root.parent))
+        folder = scratch_path(df.sparkSession, "package")
+        fs, path = filesystem(folder)
+        fs.create_dir(path, recursive=True)
+        with fs.open_output_stream(f"{path}/pricecube.zip", compression=None) as out:
+            out.write(packed.getvalue())
+        sc.addPyFile(f"{folder}/pricecube.zip")
+        _shipped.add(sc.applicationId)
+    return df.mapInArrow(run, schema)
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """``name``, made longer until no column of ``df`` has it."""
     taken = {c.lower() for c in df.columns}

@@ -21,7 +21,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import table, text_chunks, written
+from .common import map_batches, table, text_chunks, written
 from .quality import fold
 
 #: Different bytes told apart (rarer ones count as one), table cells of contexts
@@ -78,7 +78,7 @@ def gram_counts(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
 
     counted = docs.select(F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"))
     counted = counted.where("lang is not null and text is not null")
-    return counted.mapInArrow(run, "lang string, gram bigint, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    return map_batches(counted, run, "lang string, gram bigint, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
 @dataclass(frozen=True)
@@ -174,7 +174,7 @@ def identify(docs: DataFrame, train, id_col: str = "doc_id", text_col: str = "te
                     score = np.where(told, 1 / np.exp2(-np.minimum(cost, 1000)).sum(1), 0.0)
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(row, end - row), names.take(pa.array(best)), pa.array(score)], [id_col, "lang_pred", "score"])
 
-    return docs.select(F.col(id_col), F.col(text_col).alias("_text")).mapInArrow(run, f"`{id_col}` {kept}, lang_pred string, score double")
+    return map_batches(docs.select(F.col(id_col), F.col(text_col).alias("_text")), run, f"`{id_col}` {kept}, lang_pred string, score double")
 
 
 def op6_language_id(spark, sf_dir: str) -> DataFrame:

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import distinct_per_text, mix, shingle_hashes, table, text_chunks, word_hashes, written
+from .common import distinct_per_text, map_batches, mix, shingle_hashes, table, text_chunks, word_hashes, written
 from .components import components
 
 THRESHOLD = 0.75
@@ -127,7 +127,7 @@ def signatures(docs: DataFrame) -> DataFrame:
                 out += [pa.array(size)] + [c.take(place) for c in (_binary(keys), _lists(band_keys(minima)), _lists(odd_sketches(minima)))]
                 yield pa.RecordBatch.from_arrays(out, [*[f.name for f in fields], "n", "key", "bands", "sketch"])
 
-    return docs.mapInArrow(run, schema + "n long, key binary, bands array<long>, sketch array<long>")
+    return map_batches(docs, run, schema + "n long, key binary, bands array<long>, sketch array<long>")
 
 
 def shingle_sets(texts: DataFrame) -> DataFrame:
@@ -141,7 +141,7 @@ def shingle_sets(texts: DataFrame) -> DataFrame:
                 lists = pa.ListArray.from_arrays(pa.array(np.append(first, len(values)), pa.int32()), pa.array(values.view(np.int64)))
                 yield pa.RecordBatch.from_arrays([_binary(keys), lists, _lists(parities(values, first, SET_BITS))], ["key", "shingles", "parity"])
 
-    return texts.select("_text").mapInArrow(run, "key binary, shingles array<long>, parity array<long>")
+    return map_batches(texts.select("_text"), run, "key binary, shingles array<long>, parity array<long>")
 
 
 def may_link(n_a: Column, n_b: Column, shared: Column, threshold: float) -> Column:

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import distinct_per_text, table, text_chunks, word_hashes, written
+from .common import distinct_per_text, map_batches, table, text_chunks, word_hashes, written
 
 #: Labelled rows to fit on at most (those of the smallest hash of their id),
 #: pairs drawn for each row of label 0, weight of the penalty, and score of the cut.
@@ -127,7 +127,7 @@ def described(docs: DataFrame, kept: list[str], text_col: str) -> DataFrame:
                 values = pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), x.shape[1]).cast(pa.list_(pa.float64()))
                 yield pa.RecordBatch.from_arrays([*[batch.column(c).slice(row, end - row) for c in kept], values], [*kept, "x"])
 
-    return docs.select(*kept, F.col(text_col).alias("_text")).mapInArrow(run, schema + "x array<double>")
+    return map_batches(docs.select(*kept, F.col(text_col).alias("_text")), run, schema + "x array<double>")
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, train, cut: float = CUT, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", carry: list[str] | None = None) -> DataFrame:
@@ -156,7 +156,7 @@ def quality_scores(docs: DataFrame, labels: DataFrame, train, cut: float = CUT,
             score = model.score(values)
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], pa.array(score), pa.array((score >= cut).astype(np.int32))], [*kept, "score", "predicted"])
 
-    return known.mapInArrow(run, schema + "score double, predicted int")
+    return map_batches(known, run, schema + "score double, predicted int")
 
 
 def fold(id_col, parts: int):

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import map_batches, table
 
 SPACE = "▁"
 #: Remembered runs (at most twice as many, in two generations), and their length.
@@ -282,7 +282,7 @@ def tokenize(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col:
                 columns["decoded"] = pa.array(all_decoded, pa.string())
             yield pa.RecordBatch.from_pydict(columns)
 
-    return docs.select(F.col(id_col), F.col(text_col).alias("_text")).mapInArrow(run, schema)
+    return map_batches(docs.select(F.col(id_col), F.col(text_col).alias("_text")), run, schema)
 
 
 def default_model() -> str:

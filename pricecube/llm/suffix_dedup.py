@@ -32,7 +32,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import CHUNK_BYTES, mix, powers, prefix_hashes, range_hashes, table, text_chunks, written
+from .common import CHUNK_BYTES, map_batches, mix, powers, prefix_hashes, range_hashes, table, text_chunks, written
 
 LENGTH, GRAM = 200, 40
 #: Different contexts of an anchor that one task sorts at most: of at most 360
@@ -112,7 +112,7 @@ def found_anchors(docs: DataFrame, length: int) -> DataFrame:
                     columns = [gram.view(np.int64), context.view(np.int64), names[text].view(np.int64), where]
                     yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["gram", "context", "text", "at"])
 
-    return docs.select("_text").mapInArrow(run, "gram long, context long, text long, at long")
+    return map_batches(docs.select("_text"), run, "gram long, context long, text long, at long")
 
 
 # --- suffix sorting --------------------------------------------------------------
@@ -242,7 +242,7 @@ def packed(docs: DataFrame, id_type: str | None) -> DataFrame:
                     columns.insert(0, batch.column("_id").slice(row, end - row))
                 yield pa.RecordBatch.from_arrays(columns, ["_id"] * bool(id_type) + ["text", "zipped"])
 
-    return docs.mapInArrow(run, f"_id {id_type}, " * bool(id_type) + "text long, zipped binary")
+    return map_batches(docs, run, f"_id {id_type}, " * bool(id_type) + "text long, zipped binary")
 
 
 def _unzip(value: pa.Scalar, unzip: zstandard.ZstdDecompressor) -> bytes:
@@ -263,7 +263,7 @@ def contexts_of(texts: DataFrame, length: int) -> DataFrame:
                 columns = [w.field("gram"), w.field("context"), w.field("copies"), pa.array(lo), pa.array(hi), pa.array(cut, pa.binary())]
                 yield pa.RecordBatch.from_arrays(columns, ["gram", "context", "copies", "lo", "hi", "bytes"])
 
-    return texts.select("zipped", "wanted").mapInArrow(run, "gram long, context long, copies long, lo long, hi long, bytes binary")
+    return map_batches(texts.select("zipped", "wanted"), run, "gram long, context long, copies long, lo long, hi long, bytes binary")
 
 
 def sorted_groups(contexts: DataFrame, length: int) -> DataFrame:
@@ -292,7 +292,7 @@ def sorted_groups(contexts: DataFrame, length: int) -> DataFrame:
         if held is not None and held.num_rows:
             yield result(held)
 
-    return contexts.repartition("gram").sortWithinPartitions("gram").mapInArrow(run, "gram long, context long, least long, most long")
+    return map_batches(contexts.repartition("gram").sortWithinPartitions("gram"), run, "gram long, context long, least long, most long")
 
 
 def counted_windows(contexts: DataFrame, length: int) -> DataFrame:
@@ -306,7 +306,7 @@ def counted_windows(contexts: DataFrame, length: int) -> DataFrame:
                 columns = [pa.array([x] * n, pa.int64()) for x in (gram, context, copies)]
                 yield pa.RecordBatch.from_arrays([*columns, pa.array(range(lo, hi + 1), pa.int64()), pa.array(digests, pa.binary())], ["gram", "context", "copies", "o", "window"])
 
-    rows = contexts.mapInArrow(run, "gram long, context long, copies long, o long, window binary")
+    rows = map_batches(contexts, run, "gram long, context long, copies long, o long, window binary")
     often = rows.groupBy("window").agg(F.sum("copies").alias("all")).where(F.col("all") > 1)
     return rows.join(often, "window").select("gram", "context", F.col("o").alias("least"), F.col("o").alias("most"))
 
@@ -373,7 +373,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, group: int = GROUP, id
 
     schema = f"`{id_col}` {id_type}, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * with_kept
     told = packed(texts, id_type).join(written(spans, "spans"), "text", "left")
-    return told.select("_id", "zipped", "spans").mapInArrow(run, schema)
+    return map_batches(told.select("_id", "zipped", "spans"), run, schema)
 
 
 def op4_suffix_dedup(spark, sf_dir: str) -> DataFrame:

@@ -22,13 +22,12 @@ from collections.abc import Iterator
 from typing import BinaryIO
 
 import pyarrow as pa
-import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pricecube.session import scratch_path
 
-from .common import table, written
+from .common import filesystem, map_batches, table, written
 
 BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 #: Uncompressed bytes after which a task starts another archive, size of the
@@ -127,13 +126,6 @@ def split_records(pieces: Iterator[bytes]) -> Iterator[bytes]:
         del buffer[:size]
 
 
-def filesystem(uri: str) -> tuple[pafs.FileSystem, str]:
-    """The file system of the shared folder and the path in it."""
-    if uri.startswith("file:") or "://" not in uri:
-        return pafs.LocalFileSystem(), re.sub(r"^file:/*", "/", uri)
-    return pafs.FileSystem.from_uri(uri)
-
-
 # --- Spark jobs ---------------------------------------------------------------
 
 
@@ -165,7 +157,7 @@ def write_monolithic(rows: DataFrame, folder: str, roll: int = ROLL) -> DataFram
             close()
         yield pa.RecordBatch.from_pydict({"path": pa.array([p for p, _ in done], pa.string()), "records": pa.array([c for _, c in done], pa.int64())})
 
-    return rows.select("id", "url", "payload", "digest", "refers_to").mapInArrow(run, "path string, records long")
+    return map_batches(rows.select("id", "url", "payload", "digest", "refers_to"), run, "path string, records long")
 
 
 INDEX = "archive string, offset long, length long, record_id string, record_type string"
@@ -195,7 +187,7 @@ def normalise(archives: DataFrame, folder: str) -> DataFrame:
                 names = [c.split()[0] for c in INDEX.split(", ")]
                 yield pa.RecordBatch.from_pydict({n: pa.array(v) for n, v in zip(names, zip(*index, strict=True), strict=True)})
 
-    return archives.select("path").mapInArrow(run, INDEX)
+    return map_batches(archives.select("path"), run, INDEX)
 
 
 def read_members(index: DataFrame, folder: str, with_payload: bool = False) -> DataFrame:
@@ -234,7 +226,7 @@ def read_members(index: DataFrame, folder: str, with_payload: bool = False) -> D
                 names.append("payload")
             yield pa.RecordBatch.from_arrays(values, names)
 
-    return index.mapInArrow(run, schema)
+    return map_batches(index, run, schema)
 
 
 def archive(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", least: int = LEAST_PAYLOAD) -> DataFrame:

@@ -32,11 +32,12 @@ def _without(keyed: DataFrame, gone: DataFrame, key: str, docs: DataFrame) -> Da
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops the documents that the quality ranking rejects.  It learns from the
-    labels outside the held-out fold; equal rows are rejected together.  Texts
-    without a word are rejected if the features of no words are."""
-    keyed, key = _keyed(docs)
-    scored = quality_scores(keyed, table(spark, sf_dir, "labels"), lambda i: fold(i, 5) != 0, carry=[key])
-    return _without(keyed, scored.where("predicted = 0"), key, docs)
+    labels outside the held-out fold.  Texts without a word are rejected if the
+    features of no words are.  Rows are judged where they are read, without a
+    shuffle of texts."""
+    names = fresh(docs, "_score"), fresh(docs, "_predicted")
+    scored = quality_scores(docs, table(spark, sf_dir, "labels"), lambda i: fold(i, 5) != 0, carry=docs.columns, names=names)
+    return scored.where(F.col(names[1]) == 1).select(*columns(docs))
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

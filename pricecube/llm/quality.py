@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import distinct_per_text, map_batches, table, text_chunks, word_hashes, written
+from .common import distinct_per_text, map_batches, quoted, table, text_chunks, word_hashes, written
 
 #: Labelled rows to fit on at most (those of the smallest hash of their id),
 #: pairs drawn for each row of label 0, weight of the penalty, and score of the cut.
@@ -116,47 +116,57 @@ def fit(x: np.ndarray, label: np.ndarray, pairs: int = PAIRS, ridge: float = RID
     return Ranking(mean, scale, w, float(np.log(cut / (1 - cut)) - edge))
 
 
-def described(docs: DataFrame, kept: list[str], text_col: str) -> DataFrame:
-    """The columns ``kept`` and the features ``x`` of each text."""
-    schema = "".join(f"`{c}` {docs.schema[c].dataType.simpleString()}, " for c in kept)
+def with_features(docs: DataFrame, kept: list[str], text_col: str, outputs: dict[str, str], make) -> DataFrame:
+    """The columns ``kept`` of ``docs``, and ``outputs`` (name: type), which
+    ``make`` gives as arrays for the features of a chunk of texts."""
+    # Plain names on the way: mapInArrow takes no names with dots.
+    plain = [f"c{i}" for i in range(len(kept))]
+    schema = ", ".join([*[f"{n} {docs.schema[c].dataType.simpleString()}" for n, c in zip(plain, kept, strict=True)], *[f"o{i} {t}" for i, t in enumerate(outputs.values())]])
+    names = [*plain, *[f"o{i}" for i in range(len(outputs))]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row, end, data, offsets in text_chunks(batch.column("_text")):
-                x = features(data, offsets)
-                values = pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), x.shape[1]).cast(pa.list_(pa.float64()))
-                yield pa.RecordBatch.from_arrays([*[batch.column(c).slice(row, end - row) for c in kept], values], [*kept, "x"])
-
-    return map_batches(docs.select(*kept, F.col(text_col).alias("_text")), run, schema + "x array<double>")
-
-
-def quality_scores(docs: DataFrame, labels: DataFrame, train, cut: float = CUT, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", carry: list[str] | None = None) -> DataFrame:
-    """(id, ..., score, predicted), a row per input row; ``train`` says of an id column
-    which labelled rows may be learnt from.
+            for row, end, data, offsets in text_chunks(batch.column("text")):
+                out = [batch.column(c).slice(row, end - row) for c in plain]
+                yield pa.RecordBatch.from_arrays([*out, *make(features(data, offsets))], names)
+
+    taken = [F.col(quoted(c)).alias(n) for n, c in zip(plain, kept, strict=True)]
+    return map_batches(docs.select(*taken, F.col(text_col).alias("text")), run, schema).toDF(*kept, *outputs)
+
+
+def rank(docs: DataFrame, labels: DataFrame, train, cut: float = CUT, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> Ranking:
+    """Fits on at most ``sample`` labelled rows, those of the smallest hash of
+    their id.  Labels are cut down by that hash before anything is joined, so
+    that about as many rows, and not as many from each task, reach the driver."""
+    taught = labels.where(train(F.col(id_col)) & F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
+    share = 1.2 * sample / max(taught.count(), 1) + 1e-6
+    at = F.xxhash64(id_col) / F.lit(2.0**64) + F.lit(0.5)
+    taught = written(taught.where(at < share).select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label")), "taught")
+    known = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(taught, "id")
+    described = with_features(
+        known, ["id", "label"], "text", {"x": "array<double>"}, lambda x: [pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), x.shape[1]).cast(pa.list_(pa.float64()))]
+    )
+    chosen = described.orderBy(F.xxhash64("id"), "id").limit(sample).select("x", "label").toPandas()
+    n = features(np.zeros(0, np.uint8), np.zeros(1, np.int64)).shape[1]
+    return fit(np.array(chosen["x"].tolist(), float).reshape(len(chosen), n), chosen["label"].to_numpy(int), cut=cut)
+
+
+def quality_scores(docs: DataFrame, labels: DataFrame, train, cut: float = CUT, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", carry: list[str] | None = None, names: tuple[str, str] = ("score", "predicted")) -> DataFrame:
+    """(id or the columns ``carry``, score, predicted), a row per input row;
+    ``train`` says of an id column which labelled rows may be learnt from.
 
     Null and blank texts have the features zero and so all get one and the same
     score.  Rows with a null id or a null label teach nothing; repeated rows teach
-    once each.  Without rows of both labels every score is 0.5.  Columns of
-    ``carry`` go through as they are; others are ignored.
+    once each.  Without rows of both labels every score is 0.5.  Other columns
+    are ignored; ``names`` are those of the two results.
     """
-    kept = [id_col, *(carry or [])]
-    known = written(described(docs, kept, text_col), "features")
-    taught = labels.where(train(F.col(id_col)) & F.col(label_col).isNotNull()).select(id_col, F.col(label_col).cast("int").alias("label"))
-    chosen = known.join(taught, id_col).orderBy(F.xxhash64(id_col), id_col).limit(sample).select("x", "label").toPandas()
-    n = len(features(np.zeros(0, np.uint8), np.zeros(1, np.int64))[0:0].T)
-    x = np.array(chosen["x"].tolist(), float).reshape(len(chosen), n)
-    model = fit(x, chosen["label"].to_numpy(int), cut=cut)
-    schema = "".join(f"`{c}` {docs.schema[c].dataType.simpleString()}, " for c in kept)
+    model = rank(docs, labels, train, cut, sample, id_col, text_col, label_col)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            values = batch.column("x").flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
-            score = model.score(values)
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], pa.array(score), pa.array((score >= cut).astype(np.int32))], [*kept, "score", "predicted"])
+    def told(x: np.ndarray) -> list[pa.Array]:
+        score = model.score(x)
+        return [pa.array(score), pa.array((score >= cut).astype(np.int32))]
 
-    return map_batches(known, run, schema + "score double, predicted int")
+    return with_features(docs, carry or [id_col], text_col, dict(zip(names, ("double", "int"), strict=True)), told)
 
 
 def fold(id_col, parts: int):

@@ -4,7 +4,7 @@ import numpy as np
 from llm_cases import awkward, empty
 from pyspark.sql import functions as F
 
-from pricecube.llm.language_id import ORDER, build, identify
+from pricecube.llm.language_id import ORDER, build, gram_counts, identify, learn
 from pricecube.llm.queries import QUERIES
 
 
@@ -62,3 +62,43 @@ def test_awkward_rows(spark):
     nothing = identify(docs, lambda i: F.lit(False)).collect()
     assert {(r.lang_pred, r.score) for r in nothing} == {("und", 0.0)}
     assert identify(empty(spark), lambda i: F.lit(True)).collect() == []
+
+
+def learnt(spark, texts, **kwargs):
+    docs = spark.createDataFrame([(i, t, lang) for i, (lang, t) in enumerate(texts)], "doc_id int, text string, lang string")
+    return learn(gram_counts(docs, "text", "lang"), **kwargs)
+
+
+def test_all_counts_are_used(spark):
+    """Grams seen once or twice count too, and more different bytes than 160."""
+    wide = "".join(chr(i) for i in range(0x20, 0x800, 7)) + "".join(chr(i) for i in range(0x800, 0xD000, 997)) + "😀"
+    texts = [("en", "the cat sat on the mat and the cat ate " * 50), ("en", wide), ("xx", "zu qo vil"), ("xx", "qo zu wam")]
+    symbols = set("".join(t for _, t in texts).translate({c: c + 32 for c in range(65, 91)}).encode()) | {0x20}
+    model = learnt(spark, texts)
+    assert model.langs == ["en", "xx"]
+    text = b"zu vil the \xe4\x84 cat"
+    got = model.code_lengths(np.frombuffer(text, np.uint8), np.array([0, len(text)]))[0]
+    for k, lang in enumerate(model.langs):
+        taught = [t.translate({c: c + 32 for c in range(65, 91)}).encode() for name, t in texts if name == lang]
+        assert abs(got[k] - plain_bits(symbols, taught, text)) < 1e-3
+    docs = spark.createDataFrame([(i, t, lang) for i, (lang, t) in enumerate([*texts, (None, "qo vil")])], "doc_id int, text string, lang string")
+    told = {r.doc_id: r.lang_pred for r in identify(docs, lambda i: F.lit(True)).collect()}
+    assert told[2] == told[3] == told[4] == "xx" and told[0] == "en"
+
+
+def test_a_small_budget_only_backs_off(spark):
+    texts = [("en", "the cat sat on the mat and the cat ate them " * 30), ("xx", "zu qo vil"), ("yy", "zim qolo vat")]
+    whole = learnt(spark, texts)
+    for budget in (0, 3, 30, 60):
+        model = learnt(spark, texts, budget=budget)
+        assert model.langs == ["en", "xx", "yy"]
+        assert sum(len(t.orders[0][0]) for t in model.trees) <= budget
+        for kept, tree in zip(model.trees, whole.trees, strict=True):
+            for a, b in zip(kept.orders[1:], tree.orders[1:], strict=True):
+                assert all(np.array_equal(x, y) for x, y in zip(a, b, strict=True))
+            seen = np.unique(np.concatenate([t.orders[-1][0] for t in whole.trees]))
+            for context in (b"the", b"e c", b"qo ", b"zzz", b"zim"):
+                after = np.array([int.from_bytes(context, "big") << 8 | int(b) for b in [*seen, 0xFF]], np.uint32)
+                assert abs(np.exp2(-kept.bits(after)).sum() - 1) < 1e-4
+    # The share that small languages leave is the large one's.
+    assert [len(t.orders[0][0]) for t in model.trees[1:]] == [len(t.orders[0][0]) for t in whole.trees[1:]]

@@ -5,12 +5,16 @@ A URL is a basket of tokens (host labels counted from the right, path segments,
 query keys, scheme, fragment).  FP-growth over all labelled pages finds the
 token combinations that go with a verdict; rules below the support and the
 confidence asked for are pruned, and so is any rule whose part already gives
-the verdict.  An inverted index from token to rule then finds the rules whose
-tokens a URL has in full.
+the verdict.  Tokens that are on just the same labelled pages can stand for each
+other in every rule, so FP-growth sees one of them: a long address that many pages
+share is not a pattern for each subset of its parts.  An inverted index from token
+to rule then finds the rules whose tokens a URL has in full.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -29,9 +33,8 @@ SUPPORT, CONFIDENCE = 0.02, 0.8
 #: A combination on fewer labelled pages than this supports nothing; without it
 #: every combination on any page of a small table would count.
 LEAST_PAGES = 5
-#: Of a URL's path segments and query keys, so many of each become tokens.  The
-#: fixed rules see the whole URL.
-PARTS = 8
+#: All path segments, host labels and query keys become tokens, however many.
+PARTS = None
 VERDICT = "verdict="
 AFTER_SCHEME = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 
@@ -58,22 +61,52 @@ def tokens(url: Column, host_col: Column, path_col: Column) -> Column:
     """Digits count as ``0``, so that numbered pages share their tokens."""
 
     def numbered(prefix: str, parts: Column) -> Column:
-        parts = F.slice(F.filter(parts, lambda p: p != ""), 1, PARTS)
+        parts = F.filter(parts, lambda p: p != "")
         return F.transform(parts, lambda p, i: F.concat(F.lit(prefix), i.cast("string"), F.lit("="), F.regexp_replace(p, "[0-9]+", "0")))
 
     query = F.regexp_extract(url, r"(?s)^[^?#]*\?([^#]*)", 1)
-    keys = F.transform(F.slice(F.split(query, "&"), 1, PARTS), lambda p: F.concat(F.lit("query="), F.split_part(p, F.lit("="), F.lit(1))))
+    keys = F.transform(F.split(query, "&"), lambda p: F.concat(F.lit("query="), F.split_part(p, F.lit("="), F.lit(1))))
     scheme = F.array(F.concat(F.lit("scheme="), F.regexp_extract(url, r"(?s)^(.*?)://", 1)))
     fragment = F.array(F.concat(F.lit("fragment="), F.regexp_extract(url, r"(?s)#(.*)$", 1)))
     labels = numbered("host", F.reverse(F.split(host_col, r"\.")))
     return F.array_distinct(F.concat(scheme, labels, numbered("path", F.split(path_col, "/")), keys, fragment))
 
 
-def learn(baskets: DataFrame, verdict: str, support: float, confidence: float) -> DataFrame:
-    """(rule_id, tokens, confidence, support) from (tokens, verdict) rows."""
-    items = baskets.select(F.concat("tokens", F.array(F.concat(F.lit(VERDICT), "verdict"))).alias("items"))
+def alike(baskets: DataFrame, verdict: str, least: int) -> dict[str, str]:
+    """The tokens on at least ``least`` pages of the verdict, each with the first of
+    those that are on just the same labelled pages (a page counts by its hash; sums
+    of those tell sets of pages apart).
+
+    No other token can be in a rule.  With ``least`` a share of the pages, they are
+    at most a page's mean number of tokens over that share.
+    """
+    page = F.xxhash64("tokens").cast("decimal(20,0)")
+    held = (
+        baskets.select("verdict", page.alias("page"), F.explode("tokens").alias("token"))
+        .groupBy("token")
+        .agg(F.count_if(F.col("verdict") == verdict).alias("n"), F.count(F.lit(1)).alias("pages"), F.sum("page").alias("which"))
+        .where(F.col("n") >= least)
+        .select("token", "pages", "which")
+        .collect()
+    )
+    first: dict[tuple, str] = {}
+    return {r.token: first.setdefault((r.pages, r.which), r.token) for r in sorted(held)}
+
+
+def standing(tokens_col: Column, stands: dict[str, str]) -> Column:
+    """What stands for the tokens, once each; tokens in no rule are left out."""
+    known = F.create_map(*[F.lit(x) for pair in stands.items() for x in pair]).cast("map<string,string>")
+    return F.array_distinct(F.filter(F.transform(tokens_col, lambda t: F.try_element_at(known, t)), lambda t: t.isNotNull()))
+
+
+def learn(baskets: DataFrame, verdict: str, support: float, confidence: float) -> tuple[DataFrame, dict[str, str]]:
+    """(rule_id, tokens, confidence, support) from (tokens, verdict) rows, and what
+    stands for each token in the rules."""
+    total = baskets.count()
     # Half a page less, so that rounding does not ask for one more.
-    least = min(1.0, max(support, (LEAST_PAGES - 0.5) / max(items.count(), 1)))
+    least = min(1.0, max(support, (LEAST_PAGES - 0.5) / max(total, 1)))
+    stands = alike(baskets, verdict, math.ceil(least * total))
+    items = baskets.select(F.concat(standing(F.col("tokens"), stands), F.array(F.concat(F.lit(VERDICT), "verdict"))).alias("items"))
     model = FPGrowth(itemsCol="items", minSupport=least, minConfidence=confidence).fit(items)
     found = model.associationRules.where(F.col("consequent") == F.array(F.lit(VERDICT + verdict)))
     found = written(
@@ -87,7 +120,7 @@ def learn(baskets: DataFrame, verdict: str, support: float, confidence: float) -
         .join(part, "token")
         .where((F.size("part") < F.size("tokens")) & (F.size(F.array_intersect("part", "tokens")) == F.size("part")))
     )
-    return found.join(wider.select("rule_id").distinct(), "rule_id", "left_anti")
+    return found.join(wider.select("rule_id").distinct(), "rule_id", "left_anti"), stands
 
 
 def url_filter(pages: DataFrame, rules=RULES, support: float = SUPPORT, confidence: float = CONFIDENCE, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
@@ -106,14 +139,14 @@ def url_filter(pages: DataFrame, rules=RULES, support: float = SUPPORT, confiden
             "by_rule": fixed_rule(F.col("host"), F.col("path"), rules, lambda v, r: v),
         }
     )
-    basket = tokens(F.col("url"), F.col("host"), F.col("path")).alias("tokens")
-    labelled = judged.where(F.col("rule").isNotNull()).select(basket, F.col("by_rule").alias("verdict"))
-    blocking = learn(labelled, "block", support, confidence)
+    basket = tokens(F.col("url"), F.col("host"), F.col("path"))
+    labelled = judged.where(F.col("rule").isNotNull()).select(basket.alias("tokens"), F.col("by_rule").alias("verdict"))
+    blocking, stands = learn(labelled, "block", support, confidence)
     index = blocking.select("rule_id", F.size("tokens").alias("n"), F.explode("tokens").alias("token"))
     # Each distinct url is matched once, however often it occurs.
     unruled = judged.where(F.col("rule").isNull() & F.col("url").isNotNull() & (F.col("host") != "")).select("url", "host", "path").distinct()
     matched = (
-        unruled.select("url", F.explode(basket).alias("token"))
+        unruled.select("url", F.explode(standing(basket, stands)).alias("token"))
         .join(index, "token")
         .groupBy("url", "rule_id", "n")
         .agg(F.count(F.lit(1)).alias("found"))

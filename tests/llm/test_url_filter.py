@@ -77,3 +77,18 @@ def test_nothing_to_learn(spark):
     pages = spark.createDataFrame([(1, "http://a.org/x"), (2, None)], "page_id int, url string")
     assert {r.verdict for r in url_filter(pages).collect()} == {"allow"}
     assert url_filter(pages.limit(0)).collect() == []
+
+
+def test_parts_of_any_depth(spark):
+    """A token far behind in path, query or host is learnt and matched, and so is one of a long address that pages share."""
+    deep, keys, labels = "/".join(f"d{i}" for i in "abcdefghijk"), "&".join(f"k{i}=1" for i in "abcdefghijk"), ".".join("lmnopqrstuv")
+    many = "&".join(f"track{i}=1" for i in range(40))
+    urls = [f"http://h{i}.com/x/{i}" for i in range(40)]
+    for i in "abcdefgh":
+        urls += [f"http://p{i}.net/es/{deep}/ad", f"http://q{i}.net/es/?{keys}&ad={i}", f"http://ad.{labels}.net/fr/{i}", f"http://r{i}.net/es/{i}?{many}"]
+    blocked = ["http://s.org/" + "/".join("ABCDEFGHIJKL") + "/ad", "http://s.org/?" + "&".join("ABCDEFGHIJKL") + "&ad=9", "http://ad." + ".".join("ABCDEFGHIJK") + ".org/", "http://s.org/?track33=2"]
+    allowed = ["http://s.org/" + "/".join("ABCDEFGHIJKL") + "/da", "http://s.org/ad", "http://s.org/?da=9", "http://ad.s.org/"]
+    pages = spark.createDataFrame(list(enumerate([*urls, *blocked, *allowed])), "page_id int, url string")
+    got = {r.page_id: r.verdict for r in url_filter(pages).collect()}
+    assert [got[len(urls) + i] for i in range(8)] == ["block"] * 4 + ["allow"] * 4
+    assert all(got[i] == ("allow" if i < 40 else "block") for i in range(len(urls)))

@@ -29,8 +29,10 @@ RULES = (
     ("block", "net/es/"),
     ("block", "net/fr/"),
 )
+#: The support is a share of the labelled pages of the rules' verdict, so however many
+#: others one host brings, it stays as it is.
 SUPPORT, CONFIDENCE = 0.02, 0.8
-#: A combination on fewer labelled pages than this supports nothing; without it
+#: A combination on fewer pages of the verdict than this supports nothing; without it
 #: every combination on any page of a small table would count.
 LEAST_PAGES = 5
 #: All path segments, host labels and query keys become tokens, however many.
@@ -77,8 +79,8 @@ def alike(baskets: DataFrame, verdict: str, least: int) -> dict[str, str]:
     those that are on just the same labelled pages (a page counts by its hash; sums
     of those tell sets of pages apart).
 
-    No other token can be in a rule.  With ``least`` a share of the pages, they are
-    at most a page's mean number of tokens over that share.
+    No other token can be in a rule.  With ``least`` a share of the verdict's pages,
+    they are at most such a page's mean number of tokens over that share.
     """
     page = F.xxhash64("tokens").cast("decimal(20,0)")
     held = (
@@ -102,12 +104,13 @@ def standing(tokens_col: Column, stands: dict[str, str]) -> Column:
 def learn(baskets: DataFrame, verdict: str, support: float, confidence: float) -> tuple[DataFrame, dict[str, str]]:
     """(rule_id, tokens, confidence, support) from (tokens, verdict) rows, and what
     stands for each token in the rules."""
-    total = baskets.count()
-    # Half a page less, so that rounding does not ask for one more.
-    least = min(1.0, max(support, (LEAST_PAGES - 0.5) / max(total, 1)))
-    stands = alike(baskets, verdict, math.ceil(least * total))
+    total, judged = baskets.agg(F.count(F.lit(1)), F.count_if(F.col("verdict") == verdict)).first()
+    least = min(total, max(math.ceil(support * judged), LEAST_PAGES))
+    stands = alike(baskets, verdict, least)
     items = baskets.select(F.concat(standing(F.col("tokens"), stands), F.array(F.concat(F.lit(VERDICT), "verdict"))).alias("items"))
-    model = FPGrowth(itemsCol="items", minSupport=least, minConfidence=confidence).fit(items)
+    # Half a page less, so that rounding does not ask for one more.
+    share = max(least - 0.5, 0.0) / max(total, 1)
+    model = FPGrowth(itemsCol="items", minSupport=share, minConfidence=confidence).fit(items)
     found = model.associationRules.where(F.col("consequent") == F.array(F.lit(VERDICT + verdict)))
     found = written(
         found.select(F.array_sort("antecedent").alias("tokens"), "confidence", "support").withColumn("rule_id", F.xxhash64("tokens")),

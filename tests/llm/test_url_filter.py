@@ -92,3 +92,12 @@ def test_parts_of_any_depth(spark):
     got = {r.page_id: r.verdict for r in url_filter(pages).collect()}
     assert [got[len(urls) + i] for i in range(8)] == ["block"] * 4 + ["allow"] * 4
     assert all(got[i] == ("allow" if i < 40 else "block") for i in range(len(urls)))
+
+
+def test_a_hot_allowed_host_does_not_dilute(spark):
+    """Ten blocked pages teach the same rule beside 30 and beside 900 allowed ones."""
+    urls = [f"http://h{i}.net/es/x{'abcdefghij'[i]}/ad" for i in range(10)] + ["http://s.org/en/y/ad", "http://s.org/en/y/da"]
+    for hot in (30, 900):
+        pages = spark.createDataFrame(list(enumerate([*urls, *(f"http://hot.com/en/{i}" for i in range(hot))])), "page_id int, url string")
+        got = {r.page_id: r.verdict for r in url_filter(pages).collect()}
+        assert (got[10], got[11]) == ("block", "allow")

@@ -118,6 +118,17 @@ def document_dims(docs: DataFrame, doc_col: str = "doc") -> list[str]:
     return [d for d in CUBE_DIMS if d in found] + sorted(found - set(CUBE_DIMS))
 
 
+def listing_only(docs: DataFrame, dims: Sequence[str], doc_col: str = "doc") -> DataFrame:
+    """``docs``, failing on a document that lists a dimension outside ``dims``: its
+    cells would come as rows that differ in nothing but the value."""
+    ids = F.col(doc_col)["id"]
+    fails = F.raise_error(
+        F.concat(F.lit(f"a document lists dimensions outside {', '.join(dims)}: "), F.array_join(F.array_except(ids, F.array(*[F.lit(d) for d in dims])), ", "))
+    )
+    other = F.coalesce(F.exists(ids, lambda d: ~d.isin(list(dims))), F.lit(False))
+    return docs.where(F.when(other, fails.cast("boolean")).otherwise(F.lit(True)))
+
+
 def decode(
     docs: DataFrame,
     dims: Sequence[str] | None = None,
@@ -129,13 +140,15 @@ def decode(
     """One row per observed cell: ``<dim>``, ``<dim>_label`` for each dimension
     (NULL when a document lacks it), the value, and the ``carry`` columns of the
     document row.  Without ``dims`` all dimensions that the documents list are
-    decoded; a stream, which cannot look ahead, decodes ``CUBE_DIMS`` then.
+    decoded; a stream, which cannot look ahead, decodes ``CUBE_DIMS`` then and fails
+    on a document that lists others.
 
     A flat index past the end wraps by modulo, as row-major unravelling does.
     """
     carry = [c for c in (carry if carry is not None else docs.columns) if c != doc_col]
     if dims is None:
         dims = CUBE_DIMS if docs.isStreaming else document_dims(docs, doc_col)
+        docs = listing_only(docs, dims, doc_col) if docs.isStreaming else docs
     doc = F.col(doc_col)
     per_doc: list[Column] = []
     for k, d in enumerate(dims):

@@ -31,22 +31,34 @@ from pricecube.sources import cube, datasets
 LANDED = StructType(CUBE.fields + [StructField("dataset", StringType())])
 
 
+def landed_dims(spark: SparkSession, landing_path: str) -> list[str]:
+    """The known dimensions and all others that the landed documents list (one job)."""
+    docs = spark.read.schema(LANDED).json(landing_path).select(F.struct("id").alias("doc"))
+    return [*cube.CUBE_DIMS, *(d for d in cube.document_dims(docs) if d not in cube.CUBE_DIMS)]
+
+
 def decoded_stream(
     spark: SparkSession,
     landing_path: str,
-    dims: Sequence[str] = cube.CUBE_DIMS,
+    dims: Sequence[str] | None = None,
     start: int = START_YEAR,
     end: int = END_YEAR,
     names: Mapping[str, str] = COUNTRIES,
     labels: Mapping[str, str] = DATASETS,
     max_files_per_trigger: int | None = None,
 ) -> DataFrame:
+    """Without ``dims`` the known dimensions and all that are listed by what has
+    landed by now are decoded; a document that lands later and lists another one
+    fails the stream, and a restart decodes it."""
     reader = spark.readStream.schema(LANDED)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     docs = reader.json(landing_path).select(
         F.struct(*[F.col(f.name) for f in CUBE.fields]).alias("doc"), "dataset"
     )
+    if dims is None:
+        dims = landed_dims(spark, landing_path)
+        docs = cube.listing_only(docs, dims)
     rows = cube.decode(docs, dims, carry=["dataset"], value_col="value_eur_per_kwh")
     rows = rows.withColumn("consumer_type", cube.dataset_label(F.col("dataset"), labels)).drop("dataset")
     rows = datasets.filter_year_range(rows, start, end)
@@ -61,7 +73,8 @@ def load_landed(
     **kwargs,
 ) -> DataFrame:
     """Run the incremental load until everything landed so far is loaded;
-    return the target table."""
+    return the target table.  Rows of runs before a dimension was first listed
+    have NULL there."""
     if checkpoint_path is None:  # stable per target, so a rerun resumes
         tag = hashlib.sha1(target_path.encode()).hexdigest()[:16]
         checkpoint_path = f"{checkpoint_root(spark).rstrip('/')}/pricecube-streams/{tag}"
@@ -74,4 +87,4 @@ def load_landed(
         .start(target_path)
     )
     query.awaitTermination()
-    return spark.read.parquet(target_path)
+    return spark.read.option("mergeSchema", True).parquet(target_path)

@@ -7,8 +7,9 @@ token combinations that go with a verdict; rules below the support and the
 confidence asked for are pruned, and so is any rule whose part already gives
 the verdict.  Tokens that are on just the same labelled pages can stand for each
 other in every rule, so FP-growth sees one of them: a long address that many pages
-share is not a pattern for each subset of its parts.  An inverted index from token
-to rule then finds the rules whose tokens a URL has in full.
+share is not a pattern for each subset of its parts.  A token that gives the verdict
+alone is a rule that prunes all wider ones, so FP-growth does without it.  An inverted
+index from token to rule then finds the rules whose tokens a URL has in full.
 """
 
 from __future__ import annotations
@@ -74,10 +75,11 @@ def tokens(url: Column, host_col: Column, path_col: Column) -> Column:
     return F.array_distinct(F.concat(scheme, labels, numbered("path", F.split(path_col, "/")), keys, fragment))
 
 
-def alike(baskets: DataFrame, verdict: str, least: int) -> dict[str, str]:
+def alike(baskets: DataFrame, verdict: str, least: int) -> tuple[dict[str, str], dict[str, tuple[int, int]]]:
     """The tokens on at least ``least`` pages of the verdict, each with the first of
     those that are on just the same labelled pages (a page counts by its hash; sums
-    of those tell sets of pages apart).
+    of those tell sets of pages apart); and for each first one its pages of the
+    verdict and all its pages.
 
     No other token can be in a rule.  With ``least`` a share of the verdict's pages,
     they are at most such a page's mean number of tokens over that share.
@@ -88,11 +90,11 @@ def alike(baskets: DataFrame, verdict: str, least: int) -> dict[str, str]:
         .groupBy("token")
         .agg(F.count_if(F.col("verdict") == verdict).alias("n"), F.count(F.lit(1)).alias("pages"), F.sum("page").alias("which"))
         .where(F.col("n") >= least)
-        .select("token", "pages", "which")
         .collect()
     )
     first: dict[tuple, str] = {}
-    return {r.token: first.setdefault((r.pages, r.which), r.token) for r in sorted(held)}
+    stands = {r.token: first.setdefault((r.pages, r.which), r.token) for r in sorted(held)}
+    return stands, {r.token: (r.n, r.pages) for r in held if stands[r.token] == r.token}
 
 
 def standing(tokens_col: Column, stands: dict[str, str]) -> Column:
@@ -106,8 +108,12 @@ def learn(baskets: DataFrame, verdict: str, support: float, confidence: float) -
     stands for each token in the rules."""
     total, judged = baskets.agg(F.count(F.lit(1)), F.count_if(F.col("verdict") == verdict)).first()
     least = min(total, max(math.ceil(support * judged), LEAST_PAGES))
-    stands = alike(baskets, verdict, least)
-    items = baskets.select(F.concat(standing(F.col("tokens"), stands), F.array(F.concat(F.lit(VERDICT), "verdict"))).alias("items"))
+    stands, pages = alike(baskets, verdict, least)
+    alone = [([t], n / m, n / total) for t, (n, m) in pages.items() if n / m >= confidence]
+    single = baskets.sparkSession.createDataFrame(alone, "tokens array<string>, confidence double, support double")
+    ruled = {t for (t,), *_ in alone}
+    mixed = {t: s for t, s in stands.items() if s not in ruled}
+    items = baskets.select(F.concat(standing(F.col("tokens"), mixed), F.array(F.concat(F.lit(VERDICT), "verdict"))).alias("items"))
     # Half a page less, so that rounding does not ask for one more.
     share = max(least - 0.5, 0.0) / max(total, 1)
     model = FPGrowth(itemsCol="items", minSupport=share, minConfidence=confidence).fit(items)
@@ -123,7 +129,8 @@ def learn(baskets: DataFrame, verdict: str, support: float, confidence: float) -
         .join(part, "token")
         .where((F.size("part") < F.size("tokens")) & (F.size(F.array_intersect("part", "tokens")) == F.size("part")))
     )
-    return found.join(wider.select("rule_id").distinct(), "rule_id", "left_anti"), stands
+    found = found.join(wider.select("rule_id").distinct(), "rule_id", "left_anti")
+    return found.unionByName(single.withColumn("rule_id", F.xxhash64("tokens"))), stands
 
 
 def url_filter(pages: DataFrame, rules=RULES, support: float = SUPPORT, confidence: float = CONFIDENCE, id_col: str = "page_id", url_col: str = "url") -> DataFrame:

@@ -101,3 +101,11 @@ def test_a_hot_allowed_host_does_not_dilute(spark):
         pages = spark.createDataFrame(list(enumerate([*urls, *(f"http://hot.com/en/{i}" for i in range(hot))])), "page_id int, url string")
         got = {r.page_id: r.verdict for r in url_filter(pages).collect()}
         assert (got[10], got[11]) == ("block", "allow")
+
+
+def test_many_parts_that_go_together_loosely(spark):
+    """Twenty-four keys, each on most pages of a blocked site, make 24 rules and not 2**24 patterns."""
+    urls = [f"http://x{'abcdefgh'[i % 8]}.net/es/?" + "&".join(f"k{j}=1" for j in range(24) if (i * 7 + j * 5) % 23) for i in range(120)]
+    urls += [f"http://a.com/x/{i}" for i in range(120)] + ["http://s.org/?k17=0", "http://s.org/?l17=0"]
+    got = {r.page_id: r.verdict for r in url_filter(spark.createDataFrame(list(enumerate(urls)), "page_id int, url string")).collect()}
+    assert (got[240], got[241]) == ("block", "allow")

@@ -49,22 +49,27 @@ def filesystem(uri: str) -> tuple[pafs.FileSystem, str]:
 _shipped: set[str] = set()
 
 
-def map_batches(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
-    """``mapInArrow`` whose workers have this package: it is sent to them once an
-    application, since executors need not have the driver's Python path."""
-    sc = df.sparkSession.sparkContext
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the executors' Python workers, once an application:
+    they need not have the driver's Python path."""
+    sc = spark.sparkContext
     if sc.applicationId not in _shipped:
         packed, root = io.BytesIO(), Path(pricecube.__file__).parent
         with zipfile.ZipFile(packed, "w") as z:
             for source in sorted(root.rglob("*.py")):
                 z.write(source, source.relative_to(root.parent))
-        folder = scratch_path(df.sparkSession, "package")
+        folder = scratch_path(spark, "package")
         fs, path = filesystem(folder)
         fs.create_dir(path, recursive=True)
         with fs.open_output_stream(f"{path}/pricecube.zip", compression=None) as out:
             out.write(packed.getvalue())
         sc.addPyFile(f"{folder}/pricecube.zip")
         _shipped.add(sc.applicationId)
+
+
+def map_batches(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """``mapInArrow`` whose workers have this package."""
+    ship(df.sparkSession)
     return df.mapInArrow(run, schema)
 
 

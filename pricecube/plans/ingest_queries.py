@@ -12,7 +12,7 @@ from pricecube.plans.oracle_sql import AS_OF_SQL, with_ctes
 from pricecube.plans.registry import mart, register, stg
 from pricecube.schemas import RAW
 from pricecube.session import scratch_path
-from pricecube.sources import catalog, cube, datasets, files
+from pricecube.sources import catalog, cube, datasets, documents, files
 
 # --- hypercube documents --------------------------------------------------------
 
@@ -133,6 +133,43 @@ def q_cube_strides(spark, sf_dir):
     )
 
 
+#: How the documents of some countries are damaged before they land.
+_DAMAGE_SQL = """case when geo = 'N03' then 'not one JSON object' when geo = 'N05' then 'no dimension ids'
+            when geo = 'N07' then 'cells that are not numbers' when geo = 'N09' then 'not one JSON object' end"""
+
+
+@register(
+    "cube_quarantine",
+    with_ctes("obs")
+    + ","
+    + _CELLS_SQL
+    + f"""select consumer_type, geo as doc_geo, {_DAMAGE_SQL} as reason, case when {_DAMAGE_SQL} is null then count(*) else 0 end as cells
+from cells group by consumer_type, geo""",
+)
+def q_cube_quarantine(spark, sf_dir):
+    """A file for each document: some cut off (N03), without ids (N05), with a text
+    for a number (N07) or followed by more (N09), others pretty-printed (N11)."""
+    geo, doc = F.col("doc_geo"), F.col("doc")
+    text = F.to_json(doc)
+    text = (
+        F.when(geo == "N03", F.left(text, F.char_length(text) - 100))
+        .when(geo == "N05", F.to_json(F.struct("doc.size", "doc.dimension", "doc.value")))
+        .when(geo == "N07", F.regexp_replace(text, r'("value":\{"\d+":)', '$1"n/a","0":'))
+        .when(geo == "N09", F.concat(text, F.lit("}")))
+        .when(geo == "N11", F.to_json(doc, {"pretty": "true"}))
+        .otherwise(text)
+    )
+    landing = scratch_path(spark, "damaged")
+    cube_docs(spark, sf_dir).select("dataset", "doc_geo", text.alias("value")).write.partitionBy("dataset", "doc_geo").text(landing)
+    whole, broken = documents.store_documents(documents.read_documents(spark, landing), scratch_path(spark, "documents"))
+    rows = cube.decode(whole, CELL_DIMS, carry=["dataset", "doc_geo"])
+    counted = rows.groupBy("dataset", "doc_geo").agg(F.count(F.lit(1)).alias("cells"))
+    found = counted.select("*", F.lit(None).cast("string").alias("reason")).unionByName(
+        broken.select("dataset", "doc_geo", F.lit(0).cast("bigint").alias("cells"), "reason")
+    )
+    return found.select(cube.dataset_label(F.col("dataset")).alias("consumer_type"), "doc_geo", "reason", "cells")
+
+
 # --- dataset assembly -------------------------------------------------------------
 
 

@@ -10,11 +10,16 @@ def table_exists(spark: SparkSession, name: str) -> bool:
     return spark.catalog.tableExists(name)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is anything at ``path``, on any file system."""
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark._jsc.hadoopConfiguration()).exists(found)
+
+
 def path_complete(spark: SparkSession, path: str) -> bool:
     """True when a write to ``path`` has finished, on any file system and in any
     format: Spark's commit leaves the marker, a crashed write does not."""
-    marker = spark._jvm.org.apache.hadoop.fs.Path(path.rstrip("/") + "/_SUCCESS")
-    return marker.getFileSystem(spark._jsc.hadoopConfiguration()).exists(marker)
+    return path_exists(spark, path.rstrip("/") + "/_SUCCESS")
 
 
 def schema_frame(spark: SparkSession, schema: StructType) -> DataFrame:

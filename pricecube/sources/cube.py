@@ -23,26 +23,25 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pricecube.constants import DATASETS
 from pricecube.schemas import CUBE
+from pricecube.sources import documents
 
 CUBE_DIMS = ["freq", "siec", "nrg_cons", "unit", "tax", "currency", "geo", "time"]
 
 
 def read_cube_json(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
-    """Read landed documents with the fixed cube schema.
+    """Landed documents, one a file (however laid out) or one a line; reading a
+    broken one fails with its path (``documents.store_documents`` sets it aside).
 
-    Folders named ``dataset=<code>`` become a ``dataset`` column.  Use
-    ``multi_line=True`` for pretty-printed single-document files.
+    Folders named ``dataset=<code>`` become a ``dataset`` column.  ``multi_line=True``
+    takes each file for one document without looking for documents on lines.
     """
-    reader = spark.read.schema(CUBE).option("multiLine", multi_line)
-    df = reader.json(path)
-    return df.select(F.struct(*[F.col(f.name) for f in CUBE.fields]).alias("doc"), *[
-        c for c in df.columns if c not in {f.name for f in CUBE.fields}
-    ])
+    found = documents.whole_only(documents.read_documents(spark, path, "whole" if multi_line else "auto"))
+    return found.drop("path", "number")
 
 
 def parse_cube(text: Column) -> Column:
@@ -226,50 +225,45 @@ def encode(
 ) -> DataFrame:
     """Build one cube document per ``doc_keys`` group from flat cells.
 
-    Positions are dense ranks of the codes within a document (all windows share
-    one partitioning on ``doc_keys``, so one shuffle); a document holds only
-    its own cells, so its size is bounded by its dimensions' extents.
+    One shuffle: a document's cells meet in its row, and its codes are sorted and
+    numbered there, dimension by dimension.  A document holds only its own cells, so
+    its size is bounded by its dimensions' extents.
     """
     label_cols = dict(label_cols or {})
-    w_part = Window.partitionBy(*doc_keys)
-    df = cells
-    for d in dims:
-        df = df.withColumn(f"_p_{d}", F.dense_rank().over(w_part.orderBy(d)) - 1)
-    for d in dims:
-        df = df.withColumn(f"_s_{d}", F.max(f"_p_{d}").over(w_part) + 1)
-    size = F.array(*[F.col(f"_s_{d}").cast("int") for d in dims])
-    df = df.withColumn("_size", size).withColumn("_stride", strides(F.col("_size")))
-    flat = F.lit(0).cast("bigint")
-    for i, d in enumerate(dims):
-        flat = flat + F.col(f"_p_{d}").cast("bigint") * F.col("_stride")[i]
-    df = df.withColumn("_flat", flat.cast("string"))
-
-    aggs = [
-        F.first("_size").alias("size"),
-        F.map_from_entries(F.collect_list(F.struct("_flat", F.col(value)))).alias("value"),
-    ]
-    for d in dims:
-        aggs.append(F.map_from_entries(F.collect_set(F.struct(F.col(d), F.col(f"_p_{d}").cast("int")))).alias(f"_ix_{d}"))
-        lab = label_cols.get(d)
-        lab_expr = F.col(lab) if lab else F.lit("")
-        aggs.append(F.map_from_entries(F.collect_set(F.struct(F.col(d), lab_expr))).alias(f"_lb_{d}"))
-    g = df.groupBy(*doc_keys).agg(*aggs)
-    dimension = F.map_from_arrays(
-        F.array(*[F.lit(d) for d in dims]),
-        F.array(
-            *[
-                F.struct(F.struct(F.col(f"_ix_{d}").alias("index"), F.col(f"_lb_{d}").alias("label")).alias("category"))
-                for d in dims
-            ]
-        ),
-    )
+    cell = [F.col(value).alias("v")]
+    for k, d in enumerate(dims):
+        label = F.col(label_cols[d]) if d in label_cols else F.lit("")
+        cell.append(F.struct(F.col(d).alias("code"), label.alias("label")).alias(f"d{k}"))
+    held = cells.groupBy(*doc_keys).agg(F.collect_list(F.struct(*cell)).alias("_cells"))
+
+    def codes(k: int) -> Column:
+        return F.array_sort(F.array_distinct(F.transform("_cells", lambda c: c[f"d{k}"])))
+
+    def positions(k: int) -> Column:
+        return F.map_from_entries(F.transform(f"_codes{k}", lambda e, i: F.struct(e["code"], i.cast("int"))))
+
+    numbers = range(len(dims))
+    held = held.select(*doc_keys, "_cells", *[codes(k).alias(f"_codes{k}") for k in numbers])
+    held = held.select("*", *[positions(k).alias(f"_at{k}") for k in numbers], F.array(*[F.size(f"_codes{k}") for k in numbers]).alias("_size"))
+    held = held.withColumn("_stride", strides(F.col("_size")))
+
+    def flat(c: Column) -> Column:
+        at = F.lit(0).cast("bigint")
+        for k in numbers:
+            at = at + F.try_element_at(F.col(f"_at{k}"), c[f"d{k}"]["code"]).cast("bigint") * F.get("_stride", F.lit(k))
+        return F.struct(at.cast("string"), c["v"])
+
+    def category(k: int) -> Column:
+        labels = F.map_from_entries(F.transform(f"_codes{k}", lambda e: F.struct(e["code"], e["label"])))
+        return F.struct(F.struct(F.col(f"_at{k}").alias("index"), labels.alias("label")).alias("category"))
+
     doc = F.struct(
         F.array(*[F.lit(d) for d in dims]).alias("id"),
-        F.col("size"),
-        dimension.alias("dimension"),
-        F.col("value"),
+        F.col("_size").alias("size"),
+        F.map_from_arrays(F.array(*[F.lit(d) for d in dims]), F.array(*[category(k) for k in numbers])).alias("dimension"),
+        F.map_from_entries(F.transform("_cells", flat)).alias("value"),
     )
-    return g.select(*doc_keys, doc.alias("doc"))
+    return held.select(*doc_keys, doc.alias("doc"))
 
 
 def dataset_label(dataset: Column, mapping: Mapping[str, str] = DATASETS) -> Column:

@@ -31,10 +31,11 @@ from __future__ import annotations
 
 import hashlib
 import json
-import os
 import re
 import uuid
+from array import array
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -46,8 +47,10 @@ from pyspark.sql import functions as F
 from .common import map_batches, ship, table, text_chunks, written
 
 SPACE = "▁"
+#: How byte-level tokenizers cut texts (a fixed value of their format).
+PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Remembered pieces (at most twice as many, in two generations), and their length.
-MEMORY, MEMORY_CHARS = 120_000, 32
+MEMORY, MEMORY_CHARS = 200_000, 32
 #: Texts in a chunk at most, and (pair, text) entries that end one.
 PLACES, POSTINGS = 1 << 16, 3_000_000
 #: Bytes of text encoded at a time.
@@ -68,18 +71,24 @@ class Aligner:
     """Encodes single texts with both tokenizers; one for each Python worker."""
 
     def __init__(self, json_a: str, model_b: bytes):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        import tiktoken
         from sentencepiece import SentencePieceProcessor
-        from tokenizers import Tokenizer
 
         told = json.loads(json_a)
-        if (told.get("pre_tokenizer") or {}).get("type") != "ByteLevel" or told.get("normalizer"):
-            raise ValueError("A is to be a byte-level tokenizer without normalisation")
-        self.a = Tokenizer.from_str(json_a)
-        self.a.encode_special_tokens = True
-        self.b = SentencePieceProcessor(model_proto=model_b)
+        cutter, model = told.get("pre_tokenizer") or {}, told["model"]
+        plain = cutter.get("type") == "ByteLevel" and cutter.get("use_regex") and not cutter.get("add_prefix_space")
+        if not plain or told.get("normalizer") or model.get("dropout") or model.get("continuing_subword_prefix") or model.get("end_of_word_suffix"):
+            raise ValueError("A is to be a byte-level tokenizer with the usual pattern and without normalisation")
+        merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+        order = [model["vocab"][x + y] for x, y in merges]
+        if order != sorted(order):
+            raise ValueError("A's ids are to be in the order of its merges")
         letters = byte_alphabet()
-        self.bytes_a = {i: bytes(letters[c] for c in p) for p, i in told["model"]["vocab"].items()}
+        ranks = {bytes(letters[c] for c in p): i for p, i in model["vocab"].items()}
+        # Merges in the order of ids are merges by rank, which this encoder does fastest.
+        self.a = tiktoken.Encoding("a", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+        self.b = SentencePieceProcessor(model_proto=model_b)
+        self.bytes_a = {i: p for p, i in ranks.items()}
         self.bytes_b: list[bytes] = []
         for i in range(self.b.get_piece_size()):
             piece = self.b.id_to_piece(i)
@@ -90,21 +99,34 @@ class Aligner:
             raise ValueError("B is to add a space before texts, and to have spaces only where pieces begin")
         if (max(self.bytes_a) + 1) * self.size_b >= 1 << 47:
             raise ValueError("the vocabularies are too large for pairs of 47 bits")
+        self.lengths_a = np.zeros(max(self.bytes_a) + 1, np.int64)
+        self.lengths_a[list(self.bytes_a)] = [len(p) for p in self.bytes_a.values()]
+        self.lengths_b = np.array([len(p) for p in self.bytes_b])
+        ids = range(max(len(self.lengths_a), self.size_b))
+        self.names = np.array([[f"{mark}{i}" for i in ids] for mark in ("", ",", ";", "|")], object)
         self.cut = re.compile(r"(?<=[\w!-~])(?= +[^ ])").split
+        # Texts without these are cut at every space.
+        self.uneven = re.compile(r"[^\w!-~] | $").search
         self.memory: dict[str, tuple] = {}
         self.older: dict[str, tuple] = {}
 
-    def entry(self, piece: str, a: list[int], b: list[int]) -> tuple[bool, int, int, int, str, bytes]:
-        """(bytes agree, tokens of A, of B, groups, groups as text, linked pairs) of a piece."""
-        whole = piece.encode()
+    def pieces(self, text: str) -> list[str]:
+        """The pieces of a space and the text, without their first spaces."""
+        if text[:1] == " " or self.uneven(text):
+            return [p[1:] for p in self.cut(" " + text)]
+        return text.split(" ")
+
+    def entry(self, piece: str, a: list[int], b: list[int]) -> tuple[int, int, int, str, bytes] | None:
+        """(tokens of A, of B, groups, groups as text, linked pairs) of a piece; None
+        where the tokens' bytes are not those of a space and the piece."""
+        whole = b" " + piece.encode()
         told_a, told_b = [self.bytes_a[i] for i in a], [self.bytes_b[i] for i in b]
         if b"".join(told_a) != whole or b"".join(told_b) != whole:
-            return False, len(a), len(b), 0, "", b""
+            return None
         groups, pairs = [], []
-        i = j = first_a = first_b = at_a = at_b = 0
-        while i < len(a):
-            at_a += len(told_a[i])
-            i += 1
+        j = first_a = first_b = at_a = at_b = 0
+        for i, told in enumerate(told_a, 1):
+            at_a += len(told)
             while at_b < at_a:
                 at_b += len(told_b[j])
                 j += 1
@@ -112,39 +134,80 @@ class Aligner:
                 groups.append(",".join(map(str, a[first_a:i])) + "|" + ",".join(map(str, b[first_b:j])))
                 pairs.append(a[i - 1] * self.size_b + b[j - 1])
                 first_a, first_b = i, j
-        return True, len(a), len(b), len(groups), ";".join(groups), np.array(pairs, np.int64).tobytes()
+        return len(a), len(b), len(groups), ";".join(groups), array("q", pairs).tobytes()
+
+    def entries(self, pieces: list[str], a: list[list[int]], b: list[list[int]]) -> list[tuple[int, int, int, str, bytes] | None]:
+        """``entry`` of many pieces at once."""
+        whole = [b" " + p.encode() for p in pieces]
+        ends, tokens, flat = np.cumsum([len(w) for w in whole]), [], []
+        for ids, told in ((a, self.bytes_a), (b, self.bytes_b)):
+            flat.append(np.fromiter(chain.from_iterable(ids), np.int64))
+            tokens.append(np.cumsum([len(x) for x in ids]))
+            if b"".join(map(told.__getitem__, flat[-1].tolist())) != b"".join(whole):
+                return [self.entry(*one) for one in zip(pieces, a, b, strict=True)]
+        (flat_a, flat_b), (past_a, past_b) = flat, tokens
+        end_a, end_b = np.cumsum(self.lengths_a[flat_a]), np.cumsum(self.lengths_b[flat_b])
+        if (end_a[past_a - 1] != ends).any() or (end_b[past_b - 1] != ends).any():
+            return [self.entry(*one) for one in zip(pieces, a, b, strict=True)]
+        common_a, common_b = np.isin(end_a, end_b, assume_unique=True), np.isin(end_b, end_a, assume_unique=True)
+        group_a, group_b = np.cumsum(common_a) - common_a, np.cumsum(common_b) - common_b
+        after_a, after_b = np.flatnonzero(common_a) + 1, np.flatnonzero(common_b) + 1  # tokens up to the end of each group
+        first_a, first_b = np.append(0, after_a[:-1]), np.append(0, after_b[:-1])
+        # What stands before each id: "" first of a piece, ";" of another group, "|" first of B in a group, "," else.
+        mark_a, mark_b = np.full(len(flat_a), 1), np.full(len(flat_b), 1)
+        mark_a[first_a], mark_b[first_b] = 2, 3
+        mark_a[np.append(0, past_a[:-1])] = 0
+        told = np.empty(len(flat_a) + len(flat_b), object)
+        told[np.arange(len(flat_a)) + first_b[group_a]] = self.names[mark_a, flat_a]
+        told[np.arange(len(flat_b)) + after_a[group_b]] = self.names[mark_b, flat_b]
+        told, past = told.tolist(), (past_a + past_b).tolist()
+        pairs = (flat_a[after_a - 1] * self.size_b + flat_b[after_b - 1]).tobytes()
+        groups = np.cumsum(common_a)[past_a - 1].tolist()
+        n_a, n_b = np.diff(past_a, prepend=0).tolist(), np.diff(past_b, prepend=0).tolist()
+        out, i, g = [], 0, 0
+        for x, y, j, h in zip(n_a, n_b, past, groups, strict=True):
+            out.append((x, y, h - g, "".join(told[i:j]), pairs[8 * g : 8 * h]))
+            i, g = j, h
+        return out
 
-    def aligned(self, texts: list[str]) -> list[list[tuple] | None]:
-        """The entries of each text's pieces; None for a text without tokens."""
-        pieces = [self.cut(" " + t) if t else [] for t in texts]
+    def aligned(self, texts: list[str]) -> list[tuple[int, int, int, str, bytes]]:
+        """(tokens of A, of B, groups, groups as text, linked pairs) of each text."""
+        pieces = [self.pieces(t) if t else [] for t in texts]
         if len(self.memory) > MEMORY:
             self.older, self.memory = self.memory, {}
         memory, older = self.memory, self.older
-        missing = [p for p in dict.fromkeys(p for one in pieces for p in one) if p not in memory]
         unknown = []
-        for p in missing:
-            found = older.get(p)
-            if found is None:
+        distinct = set().union(*pieces)
+        for p in distinct.difference(memory):
+            found = older.get(p, unknown)
+            if found is unknown:
                 unknown.append(p)
             else:
                 memory[p] = found
         if unknown:
-            a = self.a.encode_batch(unknown, add_special_tokens=False)
-            b = self.b.encode([p[1:] for p in unknown], num_threads=1)
-            for p, x, y in zip(unknown, a, b, strict=True):
-                memory[p] = self.entry(p, x.ids, y)
-        out: list[list[tuple] | None] = []
+            a, b = [self.a(" " + p) for p in unknown], self.b.encode(unknown, num_threads=1)
+            memory.update(zip(unknown, self.entries(unknown, a, b), strict=True))
+        odd = {p for p in distinct if memory[p] is None}
+        out = []
         for text, one in zip(texts, pieces, strict=True):
             entries = [memory[p] for p in one]
-            if not all([e[0] for e in entries]):  # the whole decides
-                entries = [self.entry(" " + text, self.a.encode(" " + text, add_special_tokens=False).ids, self.b.encode(text))]
-            out.append(entries if entries and entries[0][0] else None)
+            if not odd.isdisjoint(one):  # the whole decides
+                entries = [self.entry(text, self.a(" " + text), self.b.encode(text))]
+            if entries and entries[0]:
+                n_a, n_b, n, groups, pairs = zip(*entries)
+                out.append((sum(n_a), sum(n_b), sum(n), ";".join(groups), b"".join(pairs)))
+            else:
+                out.append(NOTHING)
         for p in unknown:
             if len(p) > MEMORY_CHARS:
                 del memory[p]
         return out
 
 
+#: A text without tokens.
+NOTHING = (0, 0, 0, "", b"")
+
+
 class Chunk:
     """The bitmaps of the texts of one chunk, as sorted (pair, place) keys."""
 
@@ -242,20 +305,20 @@ def encoded(docs: DataFrame, path_a: str, path_b: str, id_col: str, text_col: st
                     yield from ended()
                     number, chunk = number + 1, Chunk()
                 told = aligner.aligned([t or "" for t in batch.column(1).slice(row, end - row).to_pylist()])
-                groups = [";".join([e[4] for e in one]) if one else "" for one in told]
-                linked = [np.frombuffer(b"".join([e[5] for e in one]), np.int64) if one else np.zeros(0, np.int64) for one in told]
+                n_a, n_b, n_groups, groups, pairs = zip(*told, strict=True)
+                linked = np.frombuffer(b"".join(pairs), np.int64)
+                n_links = np.array([len(x) for x in pairs], np.int64) // 8
                 first = chunk.places
-                place = np.repeat(np.arange(first, first + len(told)), [len(x) for x in linked])
-                chunk.merge(np.concatenate(linked), place)
+                chunk.merge(linked, np.repeat(np.arange(first, first + len(told)), n_links))
                 chunk.places += len(told)
                 found = {
                     "id": batch.column(0).slice(row, end - row),
                     "chunk": pa.array(np.full(len(told), number, np.int64)),
                     "place": pa.array(np.arange(first, first + len(told), dtype=np.int32)),
-                    "n_a": pa.array([sum([e[1] for e in one]) if one else 0 for one in told], pa.int64()),
-                    "n_b": pa.array([sum([e[2] for e in one]) if one else 0 for one in told], pa.int64()),
-                    "n_groups": pa.array([sum([e[3] for e in one]) if one else 0 for one in told], pa.int64()),
-                    "n_links": pa.array([len(x) for x in linked], pa.int64()),
+                    "n_a": pa.array(n_a, pa.int64()),
+                    "n_b": pa.array(n_b, pa.int64()),
+                    "n_groups": pa.array(n_groups, pa.int64()),
+                    "n_links": pa.array(n_links),
                     "groups_sha256": pa.array([hashlib.sha256(g.encode()).hexdigest() if g else "" for g in groups], pa.string()),
                 }
                 yield filled(found | ({"groups": pa.array(groups, pa.string())} if with_groups else {}), len(told))

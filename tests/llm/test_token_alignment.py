@@ -94,6 +94,19 @@ def test_odd_texts_in_small_chunks(spark, plain, monkeypatch):
         assert {tuple(r) for r in counted.collect()} == pairs
 
 
+def test_a_is_the_library_on_all_pieces_and_signs():
+    path_a, path_b = al.default_models()
+    library = Tokenizer.from_file(path_a)
+    library.encode_special_tokens = True
+    with open(path_a, encoding="utf-8") as f, open(path_b, "rb") as g:
+        own = al.Aligner(f.read(), g.read())
+    texts = [b.decode(errors="ignore") for b in own.bytes_a.values()]
+    signs = [chr(c) for c in [*range(0xD800), *range(0xE000, 0x30000, 3)]]
+    texts += [f" a{c}b {c}1{c}{c} 'll{c}  {c}" for c in signs]
+    for text, found in zip(texts, library.encode_batch(texts, add_special_tokens=False), strict=True):
+        assert own.a(text) == found.ids, text
+
+
 def test_planes_and_compression():
     import numpy as np
 

@@ -15,8 +15,9 @@ Decoding is pure Catalyst (higher-order functions, no Python rows):
   (defaults: code ``pos{n}``, label ``''``).
 
 A document is one row, so its explode runs in one task: land many documents
-(per dataset and country) for parallelism, and pass ``partitions`` to spread
-the decoded rows before heavy downstream work.
+(per dataset and country) for parallelism, pass ``partitions`` to spread
+the decoded rows before heavy downstream work, and read a document that is too
+large for a task with ``split.split_decode``.
 """
 
 from __future__ import annotations
@@ -148,6 +149,18 @@ def decode(
     if dims is None:
         dims = CUBE_DIMS if docs.isStreaming else document_dims(docs, doc_col)
         docs = listing_only(docs, dims, doc_col) if docs.isStreaming else docs
+    looked_up = lookups(docs, dims, carry, [F.col(doc_col)["value"].alias("_cells")], doc_col)
+    exploded = looked_up.select(*[c for c in looked_up.columns if c != "_cells"], F.explode("_cells").alias("_key", value_col))
+    out = positioned(exploded, dims, carry, value_col)
+    if partitions:
+        # hash on the full cell coordinates: even spread, deterministic on retry
+        out = out.repartition(partitions, *carry, *dims)
+    return out
+
+
+def lookups(docs: DataFrame, dims: Sequence[str], carry: Sequence[str], more: Sequence[Column] = (), doc_col: str = "doc") -> DataFrame:
+    """For each document ``carry``, its size, stride and (code, label) by position of each
+    dimension, and ``more``."""
     doc = F.col(doc_col)
     per_doc: list[Column] = []
     for k, d in enumerate(dims):
@@ -159,11 +172,11 @@ def decode(
             F.when(listed, F.element_at(strides(doc["size"]), at)).alias(f"_stride{k}"),
             F.when(listed, _by_position(doc["dimension"][d]["category"], size)).alias(f"_at{k}"),
         ]
-    exploded = docs.select(*carry, *per_doc, doc["value"].alias("_cells")).select(
-        *carry,
-        *[f"{n}{k}" for k in range(len(dims)) for n in ("_size", "_stride", "_at")],
-        F.explode("_cells").alias("_key", value_col),
-    )
+    return docs.select(*carry, *per_doc, *more)
+
+
+def positioned(cells: DataFrame, dims: Sequence[str], carry: Sequence[str], value_col: str) -> DataFrame:
+    """Codes and labels of cells (``_key`` is the flat index) with their document's lookups."""
     out_cols: list[Column] = [F.col(c) for c in carry]
     for k, d in enumerate(dims):
         pos = F.expr(f"pmod(cast(_key as bigint) div _stride{k}, _size{k})")
@@ -171,11 +184,7 @@ def decode(
         listed = F.col(f"_size{k}").isNotNull()
         out_cols.append(F.when(listed, F.coalesce(entry["code"], F.concat(F.lit("pos"), pos.cast("string")))).alias(d))
         out_cols.append(F.when(listed, F.coalesce(entry["label"], F.lit(""))).alias(f"{d}_label"))
-    out = exploded.select(*out_cols, F.col(value_col))
-    if partitions:
-        # hash on the full cell coordinates: even spread, deterministic on retry
-        out = out.repartition(partitions, *carry, *dims)
-    return out
+    return cells.select(*out_cols, F.col(value_col))
 
 
 def dimensions(docs: DataFrame, doc_col: str = "doc", carry: Sequence[str] | None = None) -> DataFrame:

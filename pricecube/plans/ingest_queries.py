@@ -177,18 +177,21 @@ DIGITS = [f"d{k}" for k in range(5)]
 def large_documents(spark, sf_dir):
     """All of ``obs`` as one document for each dataset, a cell a line: the flat index is
     ``obs_id``, whose digits are the positions.  A file is written in order by one task."""
-    o = fx.obs(spark, sf_dir).select(cube.dataset_code(F.col("consumer_type")).alias("dataset"), "obs_id", "value_eur_per_kwh")
+    o = fx.obs(spark, sf_dir).groupBy(cube.dataset_code(F.col("consumer_type")).alias("dataset"), "obs_id")
+    o = o.agg(F.min("value_eur_per_kwh").alias("v"))
     codes = F.map_from_entries(F.transform(F.sequence(F.lit(0), F.lit(99)), lambda i: F.struct(F.format_string("c%02d", i), i)))
     category = F.struct(codes.alias("index"), F.transform_values(codes, lambda c, _: F.upper(c)).alias("label"))
     dims = F.create_map(*[x for d in DIGITS for x in (F.lit(d), F.struct(category.alias("category")))])
     head = F.to_json(F.struct(F.array(*map(F.lit, DIGITS)).alias("id"), F.array(*[F.lit(100)] * len(DIGITS)).alias("size"), dims.alias("dimension")))
-    sets = o.groupBy("dataset").agg(F.max("obs_id").alias("last"))
-    cell = F.concat(F.lit('"'), F.col("obs_id"), F.lit('": '), F.col("value_eur_per_kwh"), F.when(F.col("obs_id") < F.col("last"), ",").otherwise(""))
-    lines = o.join(sets, "dataset").select("dataset", F.col("obs_id").alias("at"), cell.alias("value"))
-    top = sets.select("dataset", F.lit(-1).cast("bigint").alias("at"), F.concat(F.left(head, F.char_length(head) - 1), F.lit(', "value": {')).alias("value"))
-    end = sets.select("dataset", (F.col("last") + 1).alias("at"), F.lit('}, "source": "one, {large} document"}').alias("value"))
+    ends = o.groupBy("dataset").agg(F.min("obs_id").alias("first"), F.max("obs_id").alias("last"))
+    at = F.col("obs_id")
+    line = F.concat(
+        F.when(at == F.col("first"), F.concat(F.left(head, F.char_length(head) - 1), F.lit(', "value": {\n'))).otherwise(""),
+        F.concat(F.lit('"'), at, F.lit('": '), F.col("v")),
+        F.when(at == F.col("last"), '\n}, "source": "one, {large} document"}').otherwise(","),
+    )
     path = scratch_path(spark, "large")
-    ordered = lines.unionByName(top).unionByName(end).repartition("dataset").sortWithinPartitions("dataset", "at")
+    ordered = o.join(ends, "dataset").select("dataset", at, line.alias("value")).repartition("dataset").sortWithinPartitions("dataset", "obs_id")
     ordered.select("dataset", "value").write.partitionBy("dataset").text(path)
     return path
 
@@ -201,7 +204,7 @@ def large_documents(spark, sf_dir):
         f"printf('c%02d', obs_id // {100 ** (4 - k)} % 100) as {d}, printf('C%02d', obs_id // {100 ** (4 - k)} % 100) as {d}_label"
         for k, d in enumerate(DIGITS)
     )
-    + ", value_eur_per_kwh from obs",
+    + ", min(value_eur_per_kwh) as value_eur_per_kwh from obs group by consumer_type, obs_id",
 )
 def q_cube_split_decode(spark, sf_dir):
     rows = split.split_decode(spark, large_documents(spark, sf_dir), value_col="value_eur_per_kwh")

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from pricecube.constants import TIER_DEFAULT, TIER_PRIORITY, TIER_RULES
 
+#: Under this name a column's metadata notes the labels that it can hold.
+LABELS = "labels"
 _OPS = {
     ">": lambda c, t: c > t,
     ">=": lambda c, t: c >= t,
@@ -30,6 +32,12 @@ def bucketize(
     return F.lit(default) if expr is None else expr.otherwise(F.lit(default))
 
 
+def noted(c: Column, name: str, rules: Sequence[tuple[str, float, str]], default: str) -> Column:
+    """``c``, a ``bucketize`` of these rules, named and with its labels noted."""
+    labels = sorted({label for _, _, label in rules} | {default})
+    return c.alias(name, metadata={LABELS: labels})
+
+
 def tier_rank(c: Column, priority: Sequence[str] = TIER_PRIORITY) -> Column:
     """1 for the first label in ``priority``; anything unlisted ranks last."""
     expr = None

@@ -5,7 +5,7 @@ with two aggregates, a first-row-per-group and a join:
 
     group by (country_code, country_name, year, consumer_type):
         exact decimal sum + count -> mean as DOUBLE, min, max,
-        one count_if per tier -> mode with priority tie-break
+        one count per label of the tier dictionary -> mode with priority tie-break
 
 followed by one window (LAG) over the aggregated rows, which are bounded by
 countries x consumer types x years however large the input grows.  Partial
@@ -23,9 +23,10 @@ from pyspark.sql import functions as F
 
 from pricecube.constants import MART_BAND, TIER_PRIORITY
 from pricecube.functions import decimal_mean, pct_change, round_half_away, tier_rank, year_of
+from pricecube.functions.tiers import LABELS
 
-#: Modal tier where labels outside the priority list prevail.
-UNLISTED = "(unlisted)"
+#: Labels that the one-pass form counts; with more, the two-step form is used.
+MAX_LABELS = 64
 KEYS = ["country_code", "year", "consumer_type"]
 MART_COLUMNS = [
     "country_code",
@@ -86,54 +87,65 @@ def tier_counts(stg: DataFrame, band: str | None = MART_BAND) -> DataFrame:
     )
 
 
-def mode_expr(counts: Sequence[Column], labels: Sequence[Column]) -> Column:
-    """Label with the highest count; ties go to the earlier label."""
-    expr = None
-    for i, (ci, label) in enumerate(zip(counts, labels)):
-        cond = F.lit(True)
-        for j, cj in enumerate(counts):
-            if j != i:
-                cond = cond & (ci >= cj)
-        expr = F.when(cond, label) if expr is None else expr.when(cond, label)
-    return expr
+def labels_of(stg: DataFrame, priority: Sequence[str] = TIER_PRIORITY, column: str = "price_category") -> list[str] | None:
+    """The dictionary of the tier column: the priority list, then all other labels by
+    name.  ``staging`` notes the labels that its rules can give with the column, and
+    Parquet keeps the note; without one, a job looks at that column.  None when there
+    are more than ``MAX_LABELS``."""
+    noted = stg.schema[column].metadata.get(LABELS)
+    if noted is None:
+        # at most one row more than are counted reaches the driver
+        found = stg.select(column).where(F.col(column).isNotNull()).distinct().limit(MAX_LABELS + 1).collect()
+        noted = [r[0] for r in found]
+    labels = [*priority, *sorted(set(noted).difference(priority))]
+    return labels if len(labels) <= MAX_LABELS else None
 
 
-def _tier_count_cols(priority: Sequence[str]) -> list[Column]:
-    """A count for each listed tier; rows of any other label are counted apart, so
-    that the quality rules see it where they prevail."""
+def _tier_count_cols(labels: Sequence[str]) -> list[Column]:
+    """A count for each label of the dictionary, in its order, and for NULL: a buffer of
+    fixed width, whatever the labels.  What the dictionary lacks is counted apart."""
     c = F.col("price_category")
-    other = ~F.coalesce(c.isin(list(priority)), F.lit(False))
-    return [
-        *[F.count_if(c == t).alias(f"_t{i}") for i, t in enumerate(priority)],
-        F.count_if(other).alias("_tx"),
-    ]
+    known = c.isNull() | c.isin(list(labels))
+    counts = [F.count_if(c == t) for t in labels]
+    return [*[n.alias(f"_t{i}") for i, n in enumerate(counts)], F.count_if(c.isNull()).alias("_tnull"), F.count_if(~known).alias("_tx")]
 
 
-def _mode(priority: Sequence[str]) -> Column:
-    """The modal tier of an aggregate of ``_tier_count_cols``.  Where unlisted
-    labels prevail it is ``UNLISTED``, which no quality rule accepts: keeping the
-    labels themselves would need text in the aggregate's buffer, which Spark then
-    sorts.  ``tier_mode_general`` returns the label."""
-    counts = [F.col(f"_t{i}") for i in range(len(priority))]
-    return mode_expr([*counts, F.col("_tx")], [*map(F.lit, priority), F.lit(UNLISTED)])
+def _mode(labels: Sequence[str]) -> Column:
+    """The label with the highest count of an aggregate of ``_tier_count_cols``; of
+    equal ones the first of the dictionary, NULL last.  Fails where rows have a label
+    that the dictionary lacks, rather than leave them out."""
+    counts = [*[F.col(f"_t{i}") for i in range(len(labels))], F.col("_tnull")]
+    first = F.array_position(F.array(*counts), F.greatest(*counts)).cast("int")
+    label = F.get(F.array(*map(F.lit, labels), F.lit(None).cast("string")), first - 1)
+    fails = F.raise_error(F.lit(f"tier labels other than {', '.join(labels)}: pass labels=, or drop the note on the column"))
+    return F.when(F.col("_tx") > 0, fails.cast("string")).otherwise(label)
 
 
-def tier_mode(stg: DataFrame, band: str | None = MART_BAND, priority: Sequence[str] = TIER_PRIORITY) -> DataFrame:
-    """AGG-3 in one hash aggregate: mode of the tier with priority tie-break."""
-    tiers = _with_year(_band(stg, band)).groupBy(*KEYS).agg(*_tier_count_cols(priority))
-    return tiers.select(*KEYS, _mode(priority).alias("price_category_mode"))
+def tier_mode(
+    stg: DataFrame, band: str | None = MART_BAND, priority: Sequence[str] = TIER_PRIORITY, labels: Sequence[str] | None = None
+) -> DataFrame:
+    """AGG-3 in one hash aggregate: mode of the tier, of any label, with priority
+    tie-break; labels outside the list come after it, by name."""
+    labels = labels or labels_of(stg, priority)
+    if labels is None:
+        return tier_mode_general(stg, band, priority)
+    tiers = _with_year(_band(stg, band)).groupBy(*KEYS).agg(*_tier_count_cols(labels))
+    return tiers.select(*KEYS, _mode(labels).alias("price_category_mode"))
 
 
 def tier_mode_general(
     stg: DataFrame, band: str | None = MART_BAND, priority: Sequence[str] = TIER_PRIORITY
 ) -> DataFrame:
-    """WIN-2: first row per group by (count desc, tier rank) over tier counts.
+    """WIN-2: first row per group by (count desc, tier rank) over tier counts; labels
+    outside the list come after it, by name.
 
     ``row_number() == 1`` plans as a WindowGroupLimit (partial + final) on the
     small per-tier count table.
     """
     counts = tier_counts(stg, band)
-    w = Window.partitionBy(*KEYS).orderBy(F.col("n").desc(), tier_rank(F.col("price_category"), priority))
+    label = F.col("price_category")
+    unlisted = ~F.coalesce(label.isin(list(priority)), F.lit(False))
+    w = Window.partitionBy(*KEYS).orderBy(F.col("n").desc(), tier_rank(label, priority), unlisted, label.asc_nulls_last())
     return (
         counts.withColumn("_rn", F.row_number().over(w))
         .where(F.col("_rn") == 1)
@@ -171,12 +183,18 @@ def with_yoy(df: DataFrame, value: str = "avg_price_eur_per_kwh") -> DataFrame:
     return df.withColumn("yoy_change_pct", pct_change(F.col(value), F.col("prior_year_avg_price"), 2))
 
 
-def mart(stg: DataFrame, band: str | None = MART_BAND, priority: Sequence[str] = TIER_PRIORITY) -> DataFrame:
+def mart(
+    stg: DataFrame, band: str | None = MART_BAND, priority: Sequence[str] = TIER_PRIORITY, labels: Sequence[str] | None = None
+) -> DataFrame:
     """The annual mart (unordered; order at read with ``serving.prices``).
 
+    ``labels`` is the dictionary of the tier column (see ``labels_of``, which finds it).
     Four plan steps: filter (band and non-NULL grain keys, as the original's
     inner join drops NULL keys), one aggregate, one window select, the YoY.
     """
+    labels = labels or labels_of(stg, priority)
+    if labels is None:
+        return mart_two_step(stg, band, priority)
     year = year_of(F.col("period"))
     cond = F.col("country_code").isNotNull() & F.col("consumer_type").isNotNull() & year.isNotNull()
     if band is not None:
@@ -184,7 +202,7 @@ def mart(stg: DataFrame, band: str | None = MART_BAND, priority: Sequence[str] =
     agg = (
         stg.where(cond)
         .groupBy("country_code", "country_name", year.alias("year"), "consumer_type")
-        .agg(*_stats(), *_tier_count_cols(priority))
+        .agg(*_stats(), *_tier_count_cols(labels))
     )
     avg = _avg()
     w = Window.partitionBy("country_code", "consumer_type").orderBy("year")
@@ -196,7 +214,7 @@ def mart(stg: DataFrame, band: str | None = MART_BAND, priority: Sequence[str] =
         avg.alias("avg_price_eur_per_kwh"),
         "min_price",
         "max_price",
-        _mode(priority).alias("price_category_mode"),
+        _mode(labels).alias("price_category_mode"),
         F.lag(avg, 1).over(w).alias("prior_year_avg_price"),
     )
     return annual.select(

@@ -16,6 +16,7 @@ from pricecube.constants import (
     TIER_RULES,
 )
 from pricecube.functions import bucketize, to_decimal
+from pricecube.functions.tiers import noted
 
 
 def price_tier(value_col: str = "value_eur_per_kwh", rules=TIER_RULES, default: str = TIER_DEFAULT):
@@ -45,6 +46,6 @@ def staging(
         "nrg_cons_label",
         "tax_label",
         to_decimal(v, PRICE_PRECISION, PRICE_SCALE).alias("price_eur_per_kwh"),
-        bucketize(v, rules, default_tier).alias("price_category"),
+        noted(bucketize(v, rules, default_tier), "price_category", rules, default_tier),
         "loaded_at",
     )

@@ -4,8 +4,13 @@ from __future__ import annotations
 
 import datetime
 import decimal
+import random
+
+import pytest
 
 from pricecube.operators import annual, quality
+from pricecube.operators.staging import staging
+from pricecube.plans import fixtures as fx
 from pricecube.schemas import STG
 
 TS = datetime.datetime(2025, 1, 1)
@@ -105,7 +110,47 @@ def test_an_unlisted_tier_label_is_not_masked(spark):
     rows = [("household", "DE", "Germany", f"2020-S{i}", "TOT_KWH", "0.3000", tier) for i, tier in ((1, "Odd"), (2, "Odd"), (2, "Low"))]
     rows += [("household", "FR", "France", "2020-S1", "TOT_KWH", "0.3000", "Odd"), ("household", "FR", "France", "2020-S2", "TOT_KWH", "0.3000", "Low")]
     df = stg_rows(spark, rows)
-    for out, label in ((annual.mart(df), annual.UNLISTED), (annual.mart_two_step(df), "Odd")):
-        assert by_key(out)[("DE", "household", 2020)].price_category_mode == label
+    for out in (annual.mart(df), annual.mart_two_step(df)):
+        assert by_key(out)[("DE", "household", 2020)].price_category_mode == "Odd"
     assert not quality.passed(quality.run_rules("mart", annual.mart(df), quality.MART_RULES))
     assert by_key(annual.mart(df))[("FR", "household", 2020)].price_category_mode == "Low"
+
+
+def any_labels(spark, n):
+    """Ties of listed, unlisted and missing labels, more than one for each group."""
+    draw = random.Random(6)
+    names = [f"T{i:02d}" for i in range(n)] + ["High", "Medium", "Low", None]
+    rows = [("household", c, c, f"{y}-S{h}", "TOT_KWH", "0.3000", draw.choice(names)) for c in ("DE", "FR", "NL") for y in range(1990, 2010) for h in (1, 2, 2, 1)]
+    return stg_rows(spark, rows)
+
+
+@pytest.mark.parametrize("n", [0, 3, 12, 200])
+def test_the_mode_of_any_label_in_one_aggregate(spark, n):
+    df = any_labels(spark, n)
+    want = sorted(map(str, annual.mart_two_step(df).collect()))
+    assert sorted(map(str, annual.mart(df).collect())) == want
+    one, general = (sorted(map(str, f(df).collect())) for f in (annual.tier_mode, annual.tier_mode_general))
+    assert one == general
+    labels = annual.labels_of(df)
+    assert (labels is None) == (n == 200)
+    if labels:
+        assert labels[:3] == ["High", "Medium", "Low"] and labels[3:] == sorted(labels[3:])
+        assert sorted(map(str, annual.mart(df, labels=labels).collect())) == want
+
+
+def test_a_wrong_dictionary_fails(spark):
+    with pytest.raises(Exception, match="tier labels other than High, Medium, Low"):
+        annual.mart(any_labels(spark, 3), labels=["High", "Medium", "Low"]).collect()
+
+
+def test_staging_notes_the_labels(spark, sf_dir, tmp_dir):
+    """No job is needed to learn them, also from a stored table."""
+    rules = [(">", 0.4, "Peak"), (">", 0.25, "High"), (">=", 0.15, "Medium")]
+    stg = staging(fx.raw(spark, sf_dir), rules=rules, default_tier="Idle")
+    stg.write.parquet(f"{tmp_dir}/stg")
+    tracker, group = spark.sparkContext.statusTracker(), "labels"
+    stored = spark.read.parquet(f"{tmp_dir}/stg")
+    spark.sparkContext.setJobGroup(group, group)
+    assert annual.labels_of(stg) == annual.labels_of(stored) == ["High", "Medium", "Low", "Idle", "Peak"]
+    assert list(tracker.getJobIdsForGroup(group)) == []
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)

@@ -171,7 +171,7 @@ MORE_TIERS = [(">", 0.4, "Peak"), (">", 0.25, "High"), (">=", 0.15, "Medium"), (
               when value_eur_per_kwh >= 0.15 then 'Medium' when value_eur_per_kwh >= 0.05 then 'Dip' else 'Idle' end as tier
   from raw_half
 ), modes as (
-  select country_code, consumer_type, year, tier from tiered group by all
+  select country_code, consumer_type, year, tier from tiered group by country_code, consumer_type, year, tier
   qualify row_number() over (partition by country_code, consumer_type, year
                              order by count(*) desc, coalesce(list_position(['High', 'Medium', 'Low'], tier), 4), tier) = 1
 )

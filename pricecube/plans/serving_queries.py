@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from pricecube.constants import MART_TABLE, STG_TABLE
-from pricecube.operators import annual, publish, quality, serving
+from pricecube.operators import annual, publish, quality, serving, versions
 from pricecube.plans.oracle_sql import with_ctes
 from pricecube.plans.registry import MART_COLS, mart, register, stg, stg_dirty
 from pricecube.session import scratch_path
@@ -349,3 +349,37 @@ def q_gated_publish(spark, sf_dir):
         staging_root=root,
     )
     return spark.table(f"{database}.{MART_TABLE}")
+
+
+@register(
+    "publish_versions",
+    with_ctes("mart")
+    + f"""select 1 as number, '{STG_TABLE}' as table_name, count(*) as rows, max(period) as latest from stg where period < '1996'
+union all
+select 2, '{STG_TABLE}', count(*), max(period) from stg
+union all
+select 1, '{MART_TABLE}', count(*), max(year)::varchar from mart where year < 1996
+union all
+select 2, '{MART_TABLE}', count(*), max(year)::varchar from mart""",
+)
+def q_publish_versions(spark, sf_dir):
+    """Two versions of both tables; what a reader of each sees, and a writer that comes
+    too late for the first."""
+    root, s = scratch_path(spark, "versions"), stg(spark, sf_dir)
+    rules = {STG_TABLE: quality.STG_RULES, MART_TABLE: quality.MART_RULES}
+    early = s.where(F.col("period") < "1996")
+    versions.publish(spark, root, {STG_TABLE: early, MART_TABLE: annual.mart(early)}, rules)
+    reader = versions.Snapshot(spark, root)
+    late = versions.stage(spark, root, {STG_TABLE: s})
+    try:
+        versions.commit(spark, late, 1)
+    except versions.LostRaceError:
+        versions.discard(spark, late)
+    versions.publish(spark, root, {STG_TABLE: s, MART_TABLE: annual.mart(s)}, rules)
+    out = None
+    for snapshot in (reader, versions.Snapshot(spark, root)):
+        for name, column in ((STG_TABLE, F.col("period")), (MART_TABLE, F.col("year").cast("string"))):
+            part = snapshot.table(name).agg(F.count(F.lit(1)).alias("rows"), F.max(column).alias("latest"))
+            part = part.select(F.lit(snapshot.number).cast("int").alias("number"), F.lit(name).alias("table_name"), "rows", "latest")
+            out = part if out is None else out.unionByName(part)
+    return out

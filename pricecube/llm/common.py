@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import io
 import re
 import zipfile
@@ -159,6 +160,9 @@ def text_chunks(column: pa.ChunkedArray | pa.Array, max_bytes: int = CHUNK_BYTES
         row = end
 
 
+#: Words of more bytes are digested: there are different texts of some hundred bytes and
+#: more that have one polynomial hash modulo 2**64, whatever the base.
+LONG_WORD = 64
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 _FOLD = np.arange(256, dtype=np.uint8)
@@ -174,7 +178,10 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     start = np.flatnonzero(~space & (before | first[:-1]))
     after = np.concatenate((space[1:], [True])) if len(data) else space
     end = np.flatnonzero(~space & (after | first[1:])) + 1
-    hashed = mix(range_hashes(prefix_hashes(_FOLD[data]), start, end) + (end - start).astype(np.uint64))
+    folded = _FOLD[data]
+    hashed = mix(range_hashes(prefix_hashes(folded), start, end) + (end - start).astype(np.uint64))
+    for i in np.flatnonzero(end - start > LONG_WORD):
+        hashed[i] = int.from_bytes(hashlib.blake2b(folded[start[i] : end[i]], digest_size=8).digest(), "little")
     return start, end, hashed, np.searchsorted(offsets, start, "right") - 1
 
 

@@ -75,12 +75,10 @@ def anchors(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.ndar
     return gram[place[first]], context, text[first], place[first], a, b
 
 
-def text_hash(data: np.ndarray) -> np.uint64:
-    """Names a whole text; long ones are hashed in pieces."""
-    out = np.array([len(data)], np.uint64)
-    for i in range(0, len(data), CHUNK_BYTES):
-        out = mix(prefix_hashes(data[i : i + CHUNK_BYTES])[-1:] + out * np.uint64(0x9E3779B97F4A7C15))
-    return out[0]
+def text_names(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """128-bit BLAKE2 digests that name whole texts, as rows of two 64-bit numbers."""
+    each = [hashlib.blake2b(data[a:b], digest_size=16).digest() for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
+    return np.frombuffer(b"".join(each), np.int64).reshape(-1, 2)
 
 
 def _pieces(data: np.ndarray, offsets: np.ndarray, length: int):
@@ -94,25 +92,30 @@ def _pieces(data: np.ndarray, offsets: np.ndarray, length: int):
         yield part, np.array([0, len(part)]), i
 
 
+#: The columns that name a whole text.
+TEXT = ["text", "text_"]
+
+
 #: An anchor's place, and how far before it its last and its first window begin, in one number.
 def _pack(q, lo, hi):
     return (q << 20) | (lo << 10) | hi
 
 
 def found_anchors(docs: DataFrame, length: int) -> DataFrame:
-    """(gram, context, text, at) of a ``_text`` column."""
+    """(gram, context, text, text_, at) of a ``_text`` column; the two text columns name
+    the whole text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, _, data, offsets in text_chunks(batch.column(0)):
-                names = np.array([text_hash(data[a:b]) for a, b in zip(offsets[:-1], offsets[1:], strict=True)], np.uint64)
+                names = text_names(data, offsets)
                 for part, at, base in _pieces(data, offsets, length):
                     gram, context, text, q, a, b = anchors(part, at, length)
                     where = _pack(q - at[text] + base, q - b, q - a)
-                    columns = [gram.view(np.int64), context.view(np.int64), names[text].view(np.int64), where]
-                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["gram", "context", "text", "at"])
+                    columns = [gram.view(np.int64), context.view(np.int64), names[text, 0], names[text, 1], where]
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["gram", "context", *TEXT, "at"])
 
-    return map_batches(docs.select("_text"), run, "gram long, context long, text long, at long")
+    return map_batches(docs.select("_text"), run, "gram long, context long, text long, text_ long, at long")
 
 
 # --- suffix sorting --------------------------------------------------------------
@@ -230,19 +233,20 @@ def repeated_windows(group: np.ndarray, copies: np.ndarray, lo: np.ndarray, hi:
 
 
 def packed(docs: DataFrame, id_type: str | None) -> DataFrame:
-    """([id, ]text, zipped): the compressed bytes of ``_text`` and their hash."""
+    """([id, ]text, text_, zipped): the compressed bytes of ``_text`` and their name."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         zip_ = zstandard.ZstdCompressor(level=3)
         for batch in batches:
             for row, end, data, offsets in text_chunks(batch.column("_text")):
                 each = [data[a:b] for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
-                columns = [pa.array(np.array([text_hash(x) for x in each], np.uint64).view(np.int64)), pa.array([zip_.compress(x.tobytes()) for x in each], pa.binary())]
+                names = text_names(data, offsets)
+                columns = [pa.array(names[:, 0]), pa.array(names[:, 1]), pa.array([zip_.compress(x.tobytes()) for x in each], pa.binary())]
                 if id_type:
                     columns.insert(0, batch.column("_id").slice(row, end - row))
-                yield pa.RecordBatch.from_arrays(columns, ["_id"] * bool(id_type) + ["text", "zipped"])
+                yield pa.RecordBatch.from_arrays(columns, ["_id"] * bool(id_type) + [*TEXT, "zipped"])
 
-    return map_batches(docs, run, f"_id {id_type}, " * bool(id_type) + "text long, zipped binary")
+    return map_batches(docs, run, f"_id {id_type}, " * bool(id_type) + "text long, text_ long, zipped binary")
 
 
 def _unzip(value: pa.Scalar, unzip: zstandard.ZstdDecompressor) -> bytes:
@@ -330,20 +334,20 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, group: int = GROUP, id
     grams = written(grams.select("gram", (F.col("a") != F.col("b")).alias("mixed")), "grams")
     repeated = written(seen.join(grams, "gram"), "anchors")
     place, lo, hi = F.shiftright("at", 20), F.shiftright("at", 10).bitwiseAND(1023), F.col("at").bitwiseAND(1023)
-    whole = repeated.where(~F.col("mixed")).select("text", (place - hi).alias("start"), (place - lo + length).alias("end"))
+    whole = repeated.where(~F.col("mixed")).select(*TEXT, (place - hi).alias("start"), (place - lo + length).alias("end"))
 
     # One example of each different context, and the size of its group.
     mixed = repeated.where("mixed")
-    example = mixed.groupBy("gram", "context").agg(F.count(F.lit(1)).alias("copies"), F.min(F.struct("text", "at")).alias("e"))
-    wanted = example.groupBy("e.text").agg(F.collect_list(F.struct("gram", "context", "copies", F.col("e.at").alias("at"))).alias("wanted"))
-    # Copies of one text have one hash; the first of them serves.
-    source = packed(texts.select("_text"), None).join(wanted, "text").groupBy("text").agg(F.first("zipped").alias("zipped"), F.first("wanted").alias("wanted"))
+    example = mixed.groupBy("gram", "context").agg(F.count(F.lit(1)).alias("copies"), F.min(F.struct(*TEXT, "at")).alias("e"))
+    wanted = example.groupBy("e.text", "e.text_").agg(F.collect_list(F.struct("gram", "context", "copies", F.col("e.at").alias("at"))).alias("wanted"))
+    # Copies of one text have one name; the first of them serves.
+    source = packed(texts.select("_text"), None).join(wanted, TEXT).groupBy(*TEXT).agg(F.first("zipped").alias("zipped"), F.first("wanted").alias("wanted"))
     contexts = written(contexts_of(source, length), "contexts")
     sizes = written(contexts.groupBy("gram").agg(F.count(F.lit(1)).alias("different")).where(F.col("different") > group).select("gram"), "large")
     ranges = sorted_groups(contexts.join(sizes, "gram", "left_anti"), length).unionByName(counted_windows(contexts.join(sizes, "gram", "left_semi"), length))
     ranges = written(ranges, "ranges")
-    partly = mixed.join(ranges, ["gram", "context"]).select("text", (place - F.col("most")).alias("start"), (place - F.col("least") + length).alias("end"))
-    spans = whole.unionByName(partly).distinct().groupBy("text").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
+    partly = mixed.join(ranges, ["gram", "context"]).select(*TEXT, (place - F.col("most")).alias("start"), (place - F.col("least") + length).alias("end"))
+    spans = whole.unionByName(partly).distinct().groupBy(*TEXT).agg(F.collect_list(F.struct("start", "end")).alias("spans"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unzip = zstandard.ZstdDecompressor()
@@ -372,7 +376,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, group: int = GROUP, id
             yield pa.RecordBatch.from_arrays([batch.column(0), *arrays], [id_col, "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"][: 5 + with_kept])
 
     schema = f"`{id_col}` {id_type}, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * with_kept
-    told = packed(texts, id_type).join(written(spans, "spans"), "text", "left")
+    told = packed(texts, id_type).join(written(spans, "spans"), TEXT, "left")
     return map_batches(told.select("_id", "zipped", "spans"), run, schema)
 
 

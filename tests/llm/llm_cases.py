@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import random
 import re
 from collections import Counter, defaultdict
 
@@ -103,3 +104,11 @@ def near_groups(docs):
         component = smallest[root(place[s])] if s else i
         out[i, t] = (len(s), component, i == component)
     return out
+
+
+def twins(n=2048):
+    """Two words that every polynomial hash modulo 2**64 with an odd base confuses: their
+    letters differ by the signs of the Thue-Morse sequence."""
+    draw, signs = random.Random(9), [bin(i).count("1") % 2 for i in range(n)]
+    letters = [97 + 2 * draw.randrange(13) for _ in signs]
+    return "".join(chr(c + s) for c, s in zip(letters, signs)), "".join(chr(c + 1 - s) for c, s in zip(letters, signs))

@@ -3,7 +3,7 @@ from __future__ import annotations
 import random
 
 import numpy as np
-from llm_cases import awkward, empty, near_groups
+from llm_cases import awkward, empty, near_groups, twins
 
 from pricecube.llm import near_dedup
 from pricecube.llm.components import components
@@ -71,3 +71,11 @@ def test_components(spark):
         parent[max(a, b)] = min(a, b)
     got = {r.node: r.component for r in components(spark.createDataFrame(edges, "u bigint, v bigint")).collect()}
     assert got == {x: root(x) for e in edges if e[0] != e[1] for x in e}
+
+
+def test_words_of_one_polynomial_hash_are_different_words(spark):
+    a, b = twins()
+    docs = [(1, f"{a} and some more words to fill it"), (2, f"{b} and some more words to fill it"), (3, a), (4, b), (5, a)]
+    got = {r.doc_id: r.component_id for r in near_duplicates(spark.createDataFrame(docs, "doc_id bigint, text string")).collect()}
+    want = near_groups(docs)
+    assert got == {i: want[i, t][1] for i, t in docs} and got[4] == 4

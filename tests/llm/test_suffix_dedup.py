@@ -6,9 +6,10 @@ from collections import Counter
 
 import numpy as np
 import pytest
-from llm_cases import awkward, empty
+from llm_cases import awkward, empty, twins
 
 from pricecube.llm import suffix_dedup
+from pricecube.llm.common import prefix_hashes
 from pricecube.llm.queries import QUERIES
 from pricecube.llm.suffix_dedup import Suffixes, remove_repeats
 
@@ -104,3 +105,11 @@ def test_verification_sees_a_collision():
     order, shared = s.sorted(np.zeros(2, int))
     assert list(order) == [0, 1] and list(shared) == [-1, 3]
     assert not s.verified(order, np.array([-1, 4]), np.array([1]))
+
+
+def test_texts_of_one_polynomial_hash_are_different_texts(spark):
+    a, b = twins()
+    assert prefix_hashes(np.frombuffer(a.encode(), np.uint8))[-1] == prefix_hashes(np.frombuffer(b.encode(), np.uint8))[-1]
+    docs = spark.createDataFrame([(3, a), (4, b), (5, "x" * 50 + a[:400])], "doc_id bigint, text string")
+    check(docs, remove_repeats(docs))
+    assert {r.doc_id: r.n_removed for r in remove_repeats(docs).collect()} == {3: 400, 4: 0, 5: 400}

@@ -20,9 +20,11 @@ from pricecube.llm.sentencepiece_bpe import default_model, tokenize
 
 
 def _keyed(docs: DataFrame) -> tuple[DataFrame, str]:
-    """``docs`` with a key made of id and text, as ids may be null or repeated."""
+    """``docs`` with a key made of id and text, as ids may be null or repeated: a digest
+    that also tells null from empty."""
     key = fresh(docs, "_key")
-    return docs.withColumn(key, F.xxhash64(F.col("doc_id"), F.col("text"))), key
+    parts = [F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("-")) for c in ("doc_id", "text")]
+    return docs.withColumn(key, F.unhex(F.sha2(F.concat_ws(" ", *parts), 256))), key
 
 
 def _without(keyed: DataFrame, gone: DataFrame, key: str, docs: DataFrame) -> DataFrame:

@@ -63,51 +63,39 @@ def strides(size: Column) -> Column:
     )
 
 
-def _let(value: Column, body) -> Column:
-    """``body(value)`` with the value worked out once."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
+# What is worked out for each document and dimension is SQL text: one expression to
+# parse for a dimension, where columns built piece by piece make planning the dearest part.
 
 
-def _by_position(category: Column, size: Column) -> Column:
-    """ARRAY<STRUCT<code, label>> indexed by position, below ``size``.
-
-    Of two codes on one position the later one counts.  Positions without a
-    code are NULL, codes without a label have label ''.
-    """
-    index = F.coalesce(F.map_entries(category["index"]), F.array().cast("array<struct<key:string,value:int>>"))
-    label = F.coalesce(category["label"], F.create_map().cast("map<string,string>"))
-    placed = F.filter(
-        F.transform(index, lambda e, i: F.struct(e["key"].alias("code"), e["value"].alias("p"), i.alias("i"))),
-        lambda e: (e["p"] >= 0) & (e["p"] < size),
-    )
+def _text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
-    def labelled(codes: Column) -> Column:
-        # Maps are searched from their start, so where both maps have the same
-        # codes they are sorted and zipped instead.
-        def zipped(known: Column) -> Column:
-            same = F.transform(codes, lambda e: e["code"]) == F.transform(known, lambda e: e["key"])
-            return F.when(
-                same, F.zip_with(codes, known, lambda e, k: F.struct(e["p"].alias("p"), e["i"].alias("i"), e["code"].alias("code"), k["value"].alias("label")))
-            ).otherwise(
-                F.transform(codes, lambda e: F.struct(e["p"].alias("p"), e["i"].alias("i"), e["code"].alias("code"), F.try_element_at(label, e["code"]).alias("label")))
-            )
 
-        return _let(F.array_sort(F.map_entries(label)), zipped)
+def _let(name: str, value: str, body: str) -> str:
+    """``body`` with ``name`` for the value, which is worked out once."""
+    return f"get(transform(array({value}), {name} -> {body}), 0)"
 
-    def dense(entries: Column) -> Column:
-        last = F.filter(entries, lambda e, i: F.coalesce(F.get(entries, i + 1)["p"] != e["p"], F.lit(True)))
 
-        def filled(found: Column) -> Column:
-            out = F.transform(found, lambda e: F.struct(e["code"].alias("code"), F.coalesce(e["label"], F.lit("")).alias("label")))
-            top = F.element_at(found, -1)["p"]
-            gaps = F.map_from_arrays(F.transform(found, lambda e: e["p"]), out)
-            return F.when((F.size(found) == 0) | (top == F.size(found) - 1), out).otherwise(
-                F.transform(F.sequence(F.lit(0), top), lambda at: F.try_element_at(gaps, at))
-            )
-
-        return _let(last, filled)
+def _by_position(category: str, size: str) -> str:
+    """ARRAY<STRUCT<code, label>> indexed by position, below ``size``.
 
-    return _let(F.array_sort(_let(F.array_sort(placed), labelled)), dense)
+    Of two codes on one position the later one counts.  Positions without a
+    code are NULL, codes without a label have label ''.
+    """
+    index = f"coalesce(map_entries({category}.index), cast(array() as array<struct<key:string,value:int>>))"
+    label = f"coalesce({category}.label, cast(map() as map<string,string>))"
+    placed = f"filter(transform({index}, (e, i) -> named_struct('code', e.key, 'p', e.value, 'i', i)), e -> e.p >= 0 and e.p < {size})"
+    # Maps are searched from their start, so where both maps have the same
+    # codes they are sorted and zipped instead.
+    zipped = "zip_with(codes, known, (e, k) -> named_struct('p', e.p, 'i', e.i, 'code', e.code, 'label', k.value))"
+    searched = f"transform(codes, e -> named_struct('p', e.p, 'i', e.i, 'code', e.code, 'label', try_element_at({label}, e.code)))"
+    labelled = f"case when transform(codes, e -> e.code) = transform(known, e -> e.key) then {zipped} else {searched} end"
+    labelled = _let("codes", f"array_sort({placed})", _let("known", f"array_sort(map_entries({label}))", labelled))
+    last = "filter(entries, (e, i) -> coalesce(get(entries, i + 1).p <> e.p, true))"
+    out = "transform(found, e -> named_struct('code', e.code, 'label', coalesce(e.label, '')))"
+    top, gaps = "element_at(found, -1).p", f"map_from_arrays(transform(found, e -> e.p), {out})"
+    dense = f"case when size(found) = 0 or {top} = size(found) - 1 then {out} else transform(sequence(0, {top}), at -> try_element_at({gaps}, at)) end"
+    return _let("entries", f"array_sort({labelled})", _let("found", last, dense))
 
 
 def document_dims(docs: DataFrame, doc_col: str = "doc") -> list[str]:
@@ -161,17 +149,14 @@ def decode(
 def lookups(docs: DataFrame, dims: Sequence[str], carry: Sequence[str], more: Sequence[Column] = (), doc_col: str = "doc") -> DataFrame:
     """For each document ``carry``, its size, stride and (code, label) by position of each
     dimension, and ``more``."""
-    doc = F.col(doc_col)
     per_doc: list[Column] = []
     for k, d in enumerate(dims):
-        at = F.array_position(doc["id"], F.lit(d)).cast("int")
-        listed = at > 0
-        size = F.when(listed, F.element_at(doc["size"], at))
-        per_doc += [
-            size.cast("bigint").alias(f"_size{k}"),
-            F.when(listed, F.element_at(strides(doc["size"]), at)).alias(f"_stride{k}"),
-            F.when(listed, _by_position(doc["dimension"][d]["category"], size)).alias(f"_at{k}"),
-        ]
+        at = f"cast(array_position(`{doc_col}`.id, {_text(d)}) as int)"
+        size = f"get(`{doc_col}`.size, {at} - 1)"
+        stride = f"aggregate(slice(`{doc_col}`.size, {at} + 1, size(`{doc_col}`.size) - {at}), 1L, (product, n) -> product * n)"
+        entries = _by_position(f"`{doc_col}`.dimension[{_text(d)}].category", size)
+        for name, value in ((f"_size{k}", f"cast({size} as bigint)"), (f"_stride{k}", stride), (f"_at{k}", entries)):
+            per_doc.append(F.expr(f"case when {at} > 0 then {value} end").alias(name))
     return docs.select(*carry, *per_doc, *more)
 
 
@@ -179,11 +164,10 @@ def positioned(cells: DataFrame, dims: Sequence[str], carry: Sequence[str], valu
     """Codes and labels of cells (``_key`` is the flat index) with their document's lookups."""
     out_cols: list[Column] = [F.col(c) for c in carry]
     for k, d in enumerate(dims):
-        pos = F.expr(f"pmod(cast(_key as bigint) div _stride{k}, _size{k})")
-        entry = F.get(F.col(f"_at{k}"), pos.cast("int"))
-        listed = F.col(f"_size{k}").isNotNull()
-        out_cols.append(F.when(listed, F.coalesce(entry["code"], F.concat(F.lit("pos"), pos.cast("string")))).alias(d))
-        out_cols.append(F.when(listed, F.coalesce(entry["label"], F.lit(""))).alias(f"{d}_label"))
+        pos = f"pmod(cast(_key as bigint) div _stride{k}, _size{k})"
+        entry = f"get(_at{k}, cast({pos} as int))"
+        out_cols.append(F.expr(f"case when _size{k} is not null then coalesce({entry}.code, concat('pos', {pos})) end").alias(d))
+        out_cols.append(F.expr(f"case when _size{k} is not null then coalesce({entry}.label, '') end").alias(f"{d}_label"))
     return cells.select(*out_cols, F.col(value_col))
 
 
@@ -244,35 +228,21 @@ def encode(
         label = F.col(label_cols[d]) if d in label_cols else F.lit("")
         cell.append(F.struct(F.col(d).alias("code"), label.alias("label")).alias(f"d{k}"))
     held = cells.groupBy(*doc_keys).agg(F.collect_list(F.struct(*cell)).alias("_cells"))
-
-    def codes(k: int) -> Column:
-        return F.array_sort(F.array_distinct(F.transform("_cells", lambda c: c[f"d{k}"])))
-
-    def positions(k: int) -> Column:
-        return F.map_from_entries(F.transform(f"_codes{k}", lambda e, i: F.struct(e["code"], i.cast("int"))))
-
     numbers = range(len(dims))
-    held = held.select(*doc_keys, "_cells", *[codes(k).alias(f"_codes{k}") for k in numbers])
-    held = held.select("*", *[positions(k).alias(f"_at{k}") for k in numbers], F.array(*[F.size(f"_codes{k}") for k in numbers]).alias("_size"))
-    held = held.withColumn("_stride", strides(F.col("_size")))
-
-    def flat(c: Column) -> Column:
-        at = F.lit(0).cast("bigint")
-        for k in numbers:
-            at = at + F.try_element_at(F.col(f"_at{k}"), c[f"d{k}"]["code"]).cast("bigint") * F.get("_stride", F.lit(k))
-        return F.struct(at.cast("string"), c["v"])
-
-    def category(k: int) -> Column:
-        labels = F.map_from_entries(F.transform(f"_codes{k}", lambda e: F.struct(e["code"], e["label"])))
-        return F.struct(F.struct(F.col(f"_at{k}").alias("index"), labels.alias("label")).alias("category"))
-
-    doc = F.struct(
-        F.array(*[F.lit(d) for d in dims]).alias("id"),
-        F.col("_size").alias("size"),
-        F.map_from_arrays(F.array(*[F.lit(d) for d in dims]), F.array(*[category(k) for k in numbers])).alias("dimension"),
-        F.map_from_entries(F.transform("_cells", flat)).alias("value"),
-    )
-    return held.select(*doc_keys, doc.alias("doc"))
+    held = held.selectExpr("*", *[f"array_sort(array_distinct(transform(_cells, c -> c.d{k}))) as _codes{k}" for k in numbers])
+    positions = [f"map_from_entries(transform(_codes{k}, (e, i) -> struct(e.code, i))) as _at{k}" for k in numbers]
+    sizes = f"array({', '.join(f'size(_codes{k})' for k in numbers)}) as _size"
+    held = held.selectExpr("*", *positions, sizes).withColumn("_stride", strides(F.col("_size")))
+    flat = " + ".join(f"cast(try_element_at(_at{k}, c.d{k}.code) as bigint) * get(_stride, {k})" for k in numbers)
+    labels = [f"map_from_entries(transform(_codes{k}, e -> struct(e.code, e.label)))" for k in numbers]
+    categories = [f"{_text(d)}, named_struct('category', named_struct('index', _at{k}, 'label', {labels[k]}))" for k, d in enumerate(dims)]
+    doc = ", ".join([
+        f"'id', array({', '.join(map(_text, dims))})",
+        "'size', _size",
+        f"'dimension', map({', '.join(categories)})",
+        f"'value', map_from_entries(transform(_cells, c -> struct(cast({flat} as string), c.v)))",
+    ])
+    return held.select(*doc_keys, F.expr(f"named_struct({doc})").alias("doc"))
 
 
 def dataset_label(dataset: Column, mapping: Mapping[str, str] = DATASETS) -> Column:

@@ -12,7 +12,7 @@ from pricecube.plans.oracle_sql import AS_OF_SQL, with_ctes
 from pricecube.plans.registry import mart, register, stg
 from pricecube.schemas import RAW
 from pricecube.session import scratch_path
-from pricecube.sources import catalog, cube, datasets, documents, files, split
+from pricecube.sources import catalog, clustered, cube, datasets, detect, documents, files, split
 
 # --- hypercube documents --------------------------------------------------------
 
@@ -321,6 +321,51 @@ def q_csv_roundtrip(spark, sf_dir):
     return files.read_csv(spark, path, RAW)
 
 
+#: Texts of many kinds, made of ``obs`` alike by both engines; of ``rare`` only one row is no number.
+_KINDS = {
+    "obs_id": "cast(obs_id as string)",
+    "geo": "geo",
+    "time": "time",
+    "year": "left(time, 4)",
+    "half": "cast(time like '%S1' as string)",
+    "price": "cast(value_eur_per_kwh as string)",
+    "gaps": "case when qty < 25 then cast(cast(qty as int) as string) else '' end",
+    "blank": "''",
+    "day": "concat(left(time, 4), '-0', cast(obs_id % 9 + 1 as string), '-1', cast(obs_id % 10 as string))",
+    "moment": "concat(left(time, 4), '-01-02 03:0', cast(obs_id % 10 as string), ':00')",
+    "zoned": "concat(left(time, 4), '-01-02T03:0', cast(obs_id % 10 as string), ':00Z')",
+    "no_day": "concat(left(time, 4), '-02-', case when obs_id % 1000 = 2 then '30' else '11' end)",
+    "rare": "case when obs_id = (select max(obs_id) from obs) then 'n/a' else cast(obs_id as string) end",
+    "wide": "case when obs_id = (select max(obs_id) from obs) then '0.5' else cast(obs_id as string) end",
+}
+#: What a cast alone would round or cut, DuckDB is asked about as well.
+_FITS = {"BIGINT": ("bigint", "not bool_or({0} like '%.%')"), "DOUBLE": ("double", "true"), "BOOLEAN": ("boolean", "true"), "DATE": ("date", "max(length({0})) <= 10")}
+
+
+@register(
+    "csv_detect",
+    with_ctes("obs")
+    + ", t as (select "
+    + ", ".join(f"nullif({text}, '') as {name}" for name, text in _KINDS.items())
+    + " from obs)\nselect * from (\n"
+    + "\nunion all\n".join(
+        f"select {i} as ordinal_position, '{name}' as column_name, case when count({name}) = 0 then 'VARCHAR' "
+        + " ".join(f"when count({name}) = count(try_cast({name} as {kind})) and {also.format(name)} then '{said}'" for said, (kind, also) in _FITS.items())
+        + f" when count({name}) = count(try_cast({name} as timestamp)) then if(bool_or({name} like '%Z'), 'TIMESTAMP WITH TIME ZONE', 'TIMESTAMP')"
+        + " else 'VARCHAR' end as data_type from t"
+        for i, name in enumerate(_KINDS, 1)
+    )
+    + ")",
+)
+def q_csv_detect(spark, sf_dir):
+    """The types of a CSV of texts, from all its rows."""
+    o, path = fx.obs(spark, sf_dir), scratch_path(spark, "kinds")
+    last = o.agg(F.max("obs_id").alias("last")).first()["last"]
+    texts = [F.expr(t.replace("(select max(obs_id) from obs)", str(last))).alias(n) for n, t in _KINDS.items()]
+    files.write_csv(o.select(*texts), path)
+    return detect.detect_types(detect.read_texts(spark, path))
+
+
 @register("raw_load", with_ctes("raw") + "select * from raw")
 def q_raw_load(spark, sf_dir):
     loaded, table = publish.load_once(
@@ -396,6 +441,28 @@ def q_raw_sample(spark, sf_dir):
     )
 
 
+@register(
+    "clustered_raw",
+    with_ctes("obs")
+    + """select 'geo' as wanted, geo, time, nrg_cons, count(*) as n, sum(obs_id) as ids from obs where geo in ('N03', 'N17') group by geo, time, nrg_cons
+union all
+select 'time', geo, time, nrg_cons, count(*), sum(obs_id) from obs where time between '1995-S2' and '1996-S1' group by geo, time, nrg_cons
+union all
+select 'band', geo, time, nrg_cons, count(*), sum(obs_id) from obs where nrg_cons = 'TOT_KWH' group by geo, time, nrg_cons""",
+)
+def q_clustered_raw(spark, sf_dir):
+    """Reads of the clustered raw table by each of its columns."""
+    root, stored = scratch_path(spark, "clustered"), scratch_path(spark, "unclustered")
+    fx.obs(spark, sf_dir).write.parquet(stored)
+    clustered.write(spark.read.parquet(stored), root)
+    out = None
+    for name, wanted in (("geo", {"geo": ["N03", "N17"]}), ("time", {"time": ("1995-S2", "1996-S1")}), ("band", {"nrg_cons": ["TOT_KWH"]})):
+        rows = clustered.read(spark, root, wanted).groupBy("geo", "time", "nrg_cons").agg(F.count(F.lit(1)).alias("n"), F.sum("obs_id").alias("ids"))
+        rows = rows.select(F.lit(name).alias("wanted"), "*")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 # --- export ---------------------------------------------------------------------------
 
 

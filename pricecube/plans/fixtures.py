@@ -22,54 +22,44 @@ def as_of_literal(ts: str = AS_OF) -> Column:
     return F.lit(ts).cast("timestamp_ntz")
 
 
-def _half(date: Column, first: str, second: str) -> Column:
-    return F.concat(
-        F.year(date).cast("string"),
-        F.when(F.month(date) <= 6, F.lit(first)).otherwise(F.lit(second)),
-    )
+#: The columns that are used of the input tables.  A given schema saves a job for each read.
+INPUTS = {
+    "orders": "o_orderkey bigint, o_custkey bigint, o_totalprice double, o_orderdate timestamp_ntz",
+    "customer": "c_custkey bigint, c_nationkey int, c_mktsegment string",
+    "nation": "n_nationkey int, n_name string",
+    "lineitem": "l_orderkey bigint, l_linenumber int, l_returnflag string, l_linestatus string, l_quantity double",
+}
 
 
 def obs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = read_table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_custkey", "o_totalprice", "o_orderdate"
-    )
-    customer = read_table(spark, sf_dir, "customer").select(
-        "c_custkey", "c_nationkey", "c_mktsegment"
-    )
-    nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    lineitem = read_table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus", "l_quantity"
-    )
+    orders, customer, nation, lineitem = (read_table(spark, sf_dir, name, schema) for name, schema in INPUTS.items())
     joined = (
         orders.join(customer, orders.o_custkey == customer.c_custkey)
-        .join(nation, F.col("c_nationkey") == nation.n_nationkey)
-        .join(lineitem, F.col("o_orderkey") == lineitem.l_orderkey)
+        .join(nation, customer.c_nationkey == nation.n_nationkey)
+        .join(lineitem, orders.o_orderkey == lineitem.l_orderkey)
     )
-    rf, ls, ln = F.col("l_returnflag"), F.col("l_linestatus"), F.col("l_linenumber")
-    return joined.select(
-        F.when(F.col("c_mktsegment") == "HOUSEHOLD", "household")
-        .otherwise("industry")
-        .alias("consumer_type"),
-        F.concat(F.lit("N"), F.lpad(F.col("n_nationkey").cast("string"), 2, "0")).alias("geo"),
-        F.col("n_name").alias("country_name"),
-        _half(F.col("o_orderdate"), "-S1", "-S2").alias("time"),
-        F.lit("S").alias("freq"),
-        F.lit("Half-yearly").alias("freq_label"),
-        F.lit("E7000").alias("siec"),
-        F.lit("Electricity").alias("siec_label"),
-        F.when(rf == "A", "TOT_KWH").when(rf == "N", "KWH1000-2499").otherwise("KWH2500-4999").alias("nrg_cons"),
-        F.when(rf == "A", "All bands").when(rf == "N", "Small").otherwise("Medium").alias("nrg_cons_label"),
-        F.lit("KWH").alias("unit"),
-        F.lit("Kilowatt-hour").alias("unit_label"),
-        F.when(ls == "F", "I_TAX").otherwise("X_TAX").alias("tax"),
-        F.when(ls == "F", "Taxes included").otherwise("Taxes excluded").alias("tax_label"),
-        F.when(ln <= 5, "EUR").when(ln == 6, "NAC").otherwise("PPS").alias("currency"),
-        F.when(ln <= 5, "Euro").when(ln == 6, "National").otherwise("Parity").alias("currency_label"),
-        F.col("n_name").alias("geo_label"),
-        _half(F.col("o_orderdate"), " first half", " second half").alias("time_label"),
-        (F.floor(F.col("o_totalprice") / 100).cast("double") / 10000).alias("value_eur_per_kwh"),
-        (F.col("l_orderkey") * 10 + ln).alias("obs_id"),
-        F.col("l_quantity").alias("qty"),
+    return joined.selectExpr(
+        "case when c_mktsegment = 'HOUSEHOLD' then 'household' else 'industry' end as consumer_type",
+        "concat('N', lpad(cast(n_nationkey as string), 2, '0')) as geo",
+        "n_name as country_name",
+        "concat(cast(year(o_orderdate) as string), case when month(o_orderdate) <= 6 then '-S1' else '-S2' end) as time",
+        "'S' as freq",
+        "'Half-yearly' as freq_label",
+        "'E7000' as siec",
+        "'Electricity' as siec_label",
+        "case l_returnflag when 'A' then 'TOT_KWH' when 'N' then 'KWH1000-2499' else 'KWH2500-4999' end as nrg_cons",
+        "case l_returnflag when 'A' then 'All bands' when 'N' then 'Small' else 'Medium' end as nrg_cons_label",
+        "'KWH' as unit",
+        "'Kilowatt-hour' as unit_label",
+        "case when l_linestatus = 'F' then 'I_TAX' else 'X_TAX' end as tax",
+        "case when l_linestatus = 'F' then 'Taxes included' else 'Taxes excluded' end as tax_label",
+        "case when l_linenumber <= 5 then 'EUR' when l_linenumber = 6 then 'NAC' else 'PPS' end as currency",
+        "case when l_linenumber <= 5 then 'Euro' when l_linenumber = 6 then 'National' else 'Parity' end as currency_label",
+        "n_name as geo_label",
+        "concat(cast(year(o_orderdate) as string), case when month(o_orderdate) <= 6 then ' first half' else ' second half' end) as time_label",
+        "cast(floor(o_totalprice / 100) as double) / 10000 as value_eur_per_kwh",
+        "l_orderkey * 10 + l_linenumber as obs_id",
+        "l_quantity as qty",
     )
 
 

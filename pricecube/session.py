@@ -23,6 +23,8 @@ SESSION_DEFAULTS: dict[str, str] = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.ui.enabled": "false",
+    # Else every column expression looks up its caller's frame.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
@@ -82,6 +84,8 @@ def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str):
-    """One of the driver's input tables, as its files are now."""
-    return spark.read.parquet(table_path(sf_dir, name))
+def read_table(spark: SparkSession, sf_dir: str, name: str, schema: str | None = None):
+    """One of the driver's input tables, as its files are now; with a ``schema`` only its
+    columns, and no job to look for them."""
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(table_path(sf_dir, name))

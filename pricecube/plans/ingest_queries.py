@@ -416,6 +416,24 @@ def q_table_schema(spark, sf_dir):
     )
 
 
+@register(
+    "table_columns",
+    with_ctes("raw")
+    + ", listed as (select *, if(geo < 'N06', country_name, null) as known_name from raw)\n"
+    + "\nunion all\n".join(
+        f"select {i} as ordinal_position, '{c}' as column_name, any_value(typeof({c})) as data_type, count(*) as rows, count(*) - count({c}) as nulls from listed"
+        for i, c in enumerate([*fx.RAW_COLUMNS, "loaded_at", "known_name"], 1)
+    ),
+)
+def q_table_columns(spark, sf_dir):
+    """Columns, types and missing values of a stored table, counted in it."""
+    path = scratch_path(spark, "listed")
+    fx.raw(spark, sf_dir).withColumn("known_name", F.when(F.col("geo") < "N06", F.col("country_name"))).write.parquet(path)
+    listing = catalog.column_listing(spark.read.parquet(path))
+    m = F.create_map(*[F.lit(x) for kv in SQL_TYPE_NAMES.items() for x in kv])
+    return listing.withColumn("data_type", F.coalesce(F.try_element_at(m, F.col("data_type")), F.col("data_type")))
+
+
 @register(
     "raw_sample",
     with_ctes("obs")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
@@ -27,3 +28,15 @@ def schema_frame(spark: SparkSession, schema: StructType) -> DataFrame:
     the schema (metadata), not from the data."""
     rows = [(i + 1, f.name, f.dataType.simpleString().upper()) for i, f in enumerate(schema.fields)]
     return spark.createDataFrame(rows, "ordinal_position int, column_name string, data_type string")
+
+
+def column_listing(df: DataFrame) -> DataFrame:
+    """(ordinal_position, column_name, data_type, rows, nulls) in ordinal order, counted in
+    the table: one aggregate."""
+    names = [f"`{f.name.replace('`', '``')}`" for f in df.schema.fields]
+    held = df.agg(F.count(F.lit(1)).alias("rows"), *[F.count(F.col(n)).alias(f"_n{i}") for i, n in enumerate(names)])
+    rows = [
+        F.struct(F.lit(i + 1).alias("ordinal_position"), F.lit(f.name).alias("column_name"), F.lit(f.dataType.simpleString().upper()).alias("data_type"), "rows", (F.col("rows") - F.col(f"_n{i}")).alias("nulls"))
+        for i, f in enumerate(df.schema.fields)
+    ]
+    return held.select(F.inline(F.array(*rows)))

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import itertools
+import math
 import re
 from collections import Counter
 
@@ -39,7 +40,7 @@ def plain(urls):
     judged = [(u, *split(u), *rule_of(*split(u))) for u in urls]
     taught = [(tokens(u), v) for u, _, _, _, v in judged if v]
     single = Counter(t for ts, _ in taught for t in ts)
-    least = min(len(taught), max(SUPPORT * len(taught), LEAST_PAGES))
+    least = min(len(taught), max(math.ceil(SUPPORT * sum(v == "block" for _, v in taught)), LEAST_PAGES))
     often = {t for t, n in single.items() if n >= least}
     total, block = Counter(), Counter()
     for ts, v in taught:
@@ -64,6 +65,16 @@ def test_query_equals_counting_all_combinations(spark, sf_dir):
     assert got == want
 
 
+def test_the_share_of_the_blocked_pages_decides_on_larger_tables(spark, sf_dir):
+    """Above 250 blocked pages the support is their share and not the least count."""
+    larger = sf_dir.replace("0.001", "0.1")
+    pages = spark.read.parquet(f"{larger}/pages.parquet").collect()
+    blocked = sum(rule_of(*split(r.url))[1] == "block" for r in pages)
+    assert SUPPORT * blocked > LEAST_PAGES
+    got = {r.page_id: tuple(r[1:]) for r in QUERIES["op5_url_filter"](spark, larger).collect()}
+    assert got == dict(zip([r.page_id for r in pages], plain([r.url for r in pages]), strict=True))
+
+
 def test_awkward_urls(spark):
     urls = [None, "", "no scheme/at all", "://", "http://", "http://COM/", "http://com", "http://a.com?x", "http://net/es/1", "http://NET/es/", "http://xnet/es/", "http://www.example.com/en/a", "http://b.example.com/en/#f", "http://a/b://c/d", "http://net/fr/\nx", "http://é.net/fr/?a=1&b"]
     urls += [f"http://h{i}.net/fr/{i}" for i in range(30)] + [f"http://h{i}.org/fr/{i}" for i in range(5)]

@@ -6,6 +6,9 @@ column of that aggregate, and the row of counts is turned into rule rows
 with ``inline`` - the number of output rows is the number of rules, however
 large the table.  ``unique`` needs a grouping on its column, so it is a
 separate aggregate whose output is only the duplicated keys counted again.
+On a column of about as many values as rows that grouping shuffles them all;
+``unique(column, many=True)`` shuffles small keys instead, and values only
+where a key says that one may repeat.
 """
 
 from __future__ import annotations
@@ -15,6 +18,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pricecube.constants import (
     CONSUMER_TYPES,
@@ -33,6 +37,7 @@ class Rule:
     test: str  # "not_null" | "accepted_values" | "unique"
     column: str
     values: tuple[str, ...] = field(default=())
+    many: bool = False  # unique: about as many values as rows
 
     def failing(self) -> Column:
         c = F.col(self.column)
@@ -52,8 +57,9 @@ def accepted_values(column: str, values: Sequence[str]) -> Rule:
     return Rule("accepted_values", column, tuple(values))
 
 
-def unique(column: str) -> Rule:
-    return Rule("unique", column)
+def unique(column: str, many: bool = False) -> Rule:
+    """No value occurs twice; ``many`` picks how that is found out, not what."""
+    return Rule("unique", column, many=many)
 
 
 # The declared suite: 7 staging rules and 8 mart rules.
@@ -100,10 +106,36 @@ def _row_rules(table_name: str, df: DataFrame, rules: Sequence[Rule]) -> DataFra
     )
 
 
+_INTEGERS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+
+
+def possible_repeats(df: DataFrame, column: str) -> DataFrame:
+    """The non-NULL values of ``column`` that may occur more than once, as often as they
+    do: a column named ``column``.  Every repeated value is among them.
+
+    Integers are gathered into bitmaps, a 64-bit word for 64 neighbouring values: a word
+    with fewer bits than rows holds a repeat.  Where neighbours are read by one task a
+    row of 32 bytes stands for up to 64 values in the shuffle, and at worst for one.
+    Other types are counted by a 64-bit hash, whatever their width.  The keys so found
+    are joined back (Spark broadcasts them if they are few), so ``df`` is read twice.
+    """
+    values = df.select(F.col(column).alias("_v")).where(F.col("_v").isNotNull())
+    if isinstance(df.schema[column].dataType, _INTEGERS):
+        v = F.col("_v").cast("bigint")
+        keyed = values.withColumn("_key", F.shiftright(v, 6))
+        bit = F.expr("shiftleft(1L, cast(cast(_v as bigint) & 63 as int))")
+        seen = F.bit_count(F.bit_or(bit))
+    else:
+        keyed, seen = values.withColumn("_key", F.xxhash64("_v")), F.lit(1)
+    suspects = keyed.groupBy("_key").agg(F.count(F.lit(1)).alias("_n"), seen.alias("_seen")).where(F.col("_n") > F.col("_seen"))
+    return keyed.join(suspects.select("_key"), "_key", "left_semi").select(F.col("_v").alias(column))
+
+
 def _unique_rule(table_name: str, df: DataFrame, rule: Rule) -> DataFrame:
     """Number of non-NULL values that occur more than once."""
+    values = possible_repeats(df, rule.column) if rule.many else df
     dup = (
-        df.where(F.col(rule.column).isNotNull())
+        values.where(F.col(rule.column).isNotNull())
         .groupBy(rule.column)
         .agg(F.count(F.lit(1)).alias("_n"))
         .where(F.col("_n") > 1)

@@ -329,6 +329,29 @@ def q_dq_unique(spark, sf_dir):
     )
 
 
+#: Columns of about as many values as rows, and one with repeats all over.
+_MANY = ["obs_id", "obs_key", "order_id"]
+_OBS_TABLE = "observations"
+
+
+@register(
+    "dq_unique_many",
+    with_ctes("obs")
+    + """, keyed as (
+  select obs_id, concat_ws('|', geo, time, nrg_cons, cast(obs_id as varchar)) as obs_key, obs_id // 10 as order_id from obs
+)
+select *, case when failures > 0 then 'FAIL' else 'PASS' end as status from (
+"""
+    + "\nunion all\n".join(_rule_sql(_OBS_TABLE, "keyed", quality.unique(c)) for c in _MANY)
+    + "\n) t",
+)
+def q_dq_unique_many(spark, sf_dir):
+    keyed = fx.obs(spark, sf_dir).selectExpr(
+        "obs_id", "concat_ws('|', geo, time, nrg_cons, cast(obs_id as string)) as obs_key", "obs_id div 10 as order_id"
+    )
+    return quality.suite([(_OBS_TABLE, keyed, [quality.unique(c, many=True) for c in _MANY])])
+
+
 def _report_sql() -> str:
     lo, hi = 0.20, 0.30
     return (

@@ -9,12 +9,14 @@
 3. One map-side combined aggregate counts those digests exactly.  Verified
    winners (at most ``k`` rows of about 60 bytes, so the broadcast is bounded by
    the parameter) are broadcast and settle their rows without a shuffle.
-4. All remaining digests, each of bounded frequency, shuffle as usual.
+4. All remaining digests, each of bounded frequency, shuffle as usual: an
+   aggregate that tasks combine before they send anything counts them, and what
+   occurs more than once is joined back.  No task gathers the rows of a digest.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import LOWER, UPPER, fold_ascii, table, written
@@ -50,11 +52,13 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     )
     told = digests.join(F.broadcast(verified), "digest", "left")
     hot = told.where(F.col("group_size").isNotNull())
-    group = Window.partitionBy("digest")
-    rest = (
-        told.where(F.col("group_size").isNull())
-        .select("id", "digest")
-        .withColumns({"keep_id": F.max("id").over(group), "group_size": F.count(F.lit(1)).over(group)})
+    others = told.where(F.col("group_size").isNull()).select("id", "digest")
+    repeated = others.groupBy("digest").agg(F.max("id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")).where("group_size > 1")
+    rest = others.join(repeated, "digest", "left").select(
+        "digest",
+        "id",
+        F.when(F.col("group_size").isNull(), F.col("id")).otherwise(F.col("keep_id")).alias("keep_id"),
+        F.coalesce("group_size", F.lit(1)).alias("group_size"),
     )
     return hot.unionByName(rest).select(
         F.col("id").alias(id_col),

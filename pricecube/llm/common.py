@@ -7,6 +7,8 @@ import io
 import re
 import zipfile
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from pathlib import Path
 
 import numpy as np
@@ -32,14 +34,49 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+_made: ContextVar[list[str] | None] = ContextVar("scratch tables", default=None)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a table in the shared scratch folder: cuts the lineage, is
     computed once, and has a size that Spark knows when it picks a join."""
     path = scratch_path(df.sparkSession, name)
+    if (made := _made.get()) is not None:
+        made.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Deletes, at its end, the tables that ``written`` made within it.  What is to
+    outlast it must be a table of its own that was begun outside, or collected."""
+    before = _made.set(made := [])
+    try:
+        yield
+    finally:
+        _made.reset(before)
+        drop(spark, made)
+
+
+def drop(spark: SparkSession, paths: list[str]) -> None:
+    """Deletes folders by Spark's own file systems."""
+    sc = spark.sparkContext
+    for name in paths:
+        path = sc._jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def stored(df: Callable[[], DataFrame], spark: SparkSession, name: str) -> tuple[DataFrame, str]:
+    """What ``df()`` gives as a table in the shared scratch folder, and its path; the
+    tables that were made on the way are gone."""
+    path = scratch_path(spark, name)
+    with scratch(spark):
+        result = df()
+        result.write.parquet(path)
+    return spark.read.schema(result.schema).parquet(path), path
+
+
 def filesystem(uri: str) -> tuple[pafs.FileSystem, str]:
     """The file system of the shared folder and the path in it."""
     if uri.startswith("file:") or "://" not in uri:
@@ -59,12 +96,12 @@ def ship(spark: SparkSession) -> None:
         with zipfile.ZipFile(packed, "w") as z:
             for source in sorted(root.rglob("*.py")):
                 z.write(source, source.relative_to(root.parent))
-        folder = scratch_path(spark, "package")
-        fs, path = filesystem(folder)
-        fs.create_dir(path, recursive=True)
-        with fs.open_output_stream(f"{path}/pricecube.zip", compression=None) as out:
-            out.write(packed.getvalue())
-        sc.addPyFile(f"{folder}/pricecube.zip")
+        name = f"{scratch_path(spark, 'package')}/pricecube.zip"
+        path = sc._jvm.org.apache.hadoop.fs.Path(name)  # any scheme that Spark knows
+        out = path.getFileSystem(sc._jsc.hadoopConfiguration()).create(path)
+        out.write(packed.getvalue())
+        out.close()
+        sc.addPyFile(name)
         _shipped.add(sc.applicationId)
 
 

@@ -81,26 +81,47 @@ def record(page_id, url, payload: bytes, digest: str, refers_to) -> bytes:
     return "\r\n".join(lines).encode("utf-8", "replace") + END + block + END
 
 
+#: The fields that are looked at; their names come in any case.
+FIELDS = ("WARC-Type", "WARC-Record-ID", "WARC-Payload-Digest", "WARC-Refers-To", "X-Payload-Length", "Content-Length", "Content-Type")
+_FIELD = {f.lower(): f for f in FIELDS}
+
+
 def header_fields(head: bytes) -> dict[str, str]:
-    version, *lines = head.decode("utf-8", "replace").split("\r\n")
+    """Fields by name, those of ``FIELDS`` as written there.  A line that begins with a
+    space goes on with the one before; of repeated fields the first counts."""
+    version, *lines = re.sub(r"\r\n[ \t]+", " ", head.decode("utf-8", "replace")).split("\r\n")
     if not version.startswith("WARC/"):
         raise ValueError(f"not a WARC record: {version[:40]!r}")
-    return dict(line.split(": ", 1) for line in lines if ": " in line)
+    fields: dict[str, str] = {}
+    for line in lines:
+        name, colon, value = line.partition(":")
+        if colon:
+            fields.setdefault(_FIELD.get(name.strip().lower(), name.strip()), value.strip())
+    for name in ("WARC-Type", "WARC-Record-ID", "Content-Length"):
+        if name not in fields:
+            raise ValueError(f"a WARC record without {name}")
+    if not re.fullmatch("[0-9]+", fields["Content-Length"]):
+        raise ValueError(f"a WARC record of length {fields['Content-Length'][:40]!r}")
+    return fields
 
 
 def inflated(source: BinaryIO) -> Iterator[bytes]:
-    """The bytes of a gzip file in pieces, whether of one member or of many."""
-    gz = zlib.decompressobj(GZIP)
+    """The bytes of a gzip file in pieces, whether of one member or of many.  An empty
+    file has none; one that ends before its last member does is an error."""
+    gz, begun = zlib.decompressobj(GZIP), False
     while data := source.read(PIECE):
         while data:
+            begun = True
             if piece := gz.decompress(data, PIECE):
                 yield piece
             data = gz.unconsumed_tail
             if gz.eof:
-                data = gz.unused_data
-                gz = zlib.decompressobj(GZIP)
-    if tail := gz.flush():
-        yield tail
+                data, gz, begun = gz.unused_data, zlib.decompressobj(GZIP), False
+    if begun:
+        if tail := gz.flush():
+            yield tail
+        if not gz.eof:
+            raise ValueError("the archive ends within a gzip member")
 
 
 def split_records(pieces: Iterator[bytes]) -> Iterator[bytes]:
@@ -165,7 +186,8 @@ INDEX = "archive string, offset long, length long, record_id string, record_type
 
 def normalise(archives: DataFrame, folder: str) -> DataFrame:
     """Rewrites each archive (a ``path`` column) record by record, with a sidecar
-    ``.idx`` file of (offset, length, record id, type) lines; returns the index."""
+    ``.idx`` file of (offset, length, record id, type) lines; returns the index.  An
+    archive without records has no rows there."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, base = filesystem(folder)
@@ -184,6 +206,8 @@ def normalise(archives: DataFrame, folder: str) -> DataFrame:
                 with fs.open_output_stream(f"{target}.idx", compression=None) as side:
                     for row in index:
                         side.write("\t".join(map(str, row[1:])).encode() + b"\n")
+                if not index:
+                    continue
                 names = [c.split()[0] for c in INDEX.split(", ")]
                 yield pa.RecordBatch.from_pydict({n: pa.array(v) for n, v in zip(names, zip(*index, strict=True), strict=True)})
 
@@ -192,11 +216,14 @@ def normalise(archives: DataFrame, folder: str) -> DataFrame:
 
 def read_members(index: DataFrame, folder: str, with_payload: bool = False) -> DataFrame:
     """Reads each indexed member alone; ids come as text.  A response's length and
-    digest are those of the payload read; a revisit's are the ones its header keeps."""
+    digest are those of the payload read; a revisit's are the ones its header keeps (null
+    where it keeps none).  The payload of an HTTP message is its body.  A SHA-1 that a
+    header claims is compared; record ids that are no page's stay as they are."""
     schema = "id string, payload_bytes long, payload_digest string, record_type string, refers_to string" + ", payload binary" * with_payload
 
     def page(urn: str | None):
-        return re.sub(r"^<urn:page:|>$", "", urn) or None if urn else None
+        own = re.fullmatch("<urn:page:(.*)>", urn or "")
+        return (own[1] if own else urn) or None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, _ = filesystem(folder)
@@ -210,11 +237,13 @@ def read_members(index: DataFrame, folder: str, with_payload: bool = False) -> D
                 at = one.index(END)
                 fields = header_fields(one[:at])
                 payload = one[at + 4 : at + 4 + int(fields["Content-Length"])]
+                if fields.get("Content-Type", "").startswith("application/http"):
+                    payload = payload.partition(END)[2]
                 size, digest = len(payload), base64.b32encode(hashlib.sha1(payload).digest()).decode()
-                claimed = fields["WARC-Payload-Digest"].removeprefix("sha1:")
+                kind, _, claimed = fields.get("WARC-Payload-Digest", "").rpartition(":")
                 if fields["WARC-Type"] == "revisit":
-                    size, digest = int(fields["X-Payload-Length"]), claimed
-                elif digest != claimed:
+                    size, digest = int(fields["X-Payload-Length"]) if "X-Payload-Length" in fields else None, claimed or None
+                elif kind.lower() == "sha1" and digest != claimed.upper():
                     raise ValueError(f"{archive} at {offset}: the payload does not match its digest")
                 out.append((page(fields["WARC-Record-ID"]), size, digest, fields["WARC-Type"], page(fields.get("WARC-Refers-To")), payload))
             columns = list(zip(*out, strict=True)) or [()] * 6

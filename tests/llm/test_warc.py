@@ -1,9 +1,13 @@
 from __future__ import annotations
 
+import base64
 import gzip
+import hashlib
 import io
+import os
 import zlib
 
+import pytest
 from llm_cases import by_name, oracle, spark_by_name
 
 from pricecube.llm import warc
@@ -64,3 +68,55 @@ def test_broken_archives_are_reported():
         except (ValueError, KeyError):
             continue
         raise AssertionError(bad)
+
+
+def foreign(*fields: str, block: bytes = b"") -> bytes:
+    return "\r\n".join(["WARC/1.0", *fields]).encode() + warc.END + block + warc.END
+
+
+def put(folder: str, name: str, data: bytes) -> str:
+    os.makedirs(folder, exist_ok=True)
+    with open(f"{folder}/{name}", "wb") as f:
+        f.write(data)
+    return f"{folder}/{name}"
+
+
+def test_archives_of_others(spark, tmp_dir):
+    """Names in any case, no space after the colon, folded lines, HTTP messages, other
+    kinds of records, digests of other kinds or none, and archives without records."""
+    body = "<p>\u00e9</p>\r\n\r\nmore".encode()
+    message = b"HTTP/1.1 200 OK\r\nContent-Length: 3" + warc.END + body
+    sha = base64.b32encode(hashlib.sha1(body).digest()).decode()
+    records = [
+        foreign("warc-type:warcinfo", "warc-record-id:<urn:uuid:0>", "content-length:3", block=b"a:b"),
+        foreign("WARC-Type: response", "WARC-Record-ID: <urn:uuid:1>", f"WARC-Payload-Digest: SHA1:{sha.lower()}", "Content-Type: application/http;\r\n msgtype=response", f"CONTENT-LENGTH:  {len(message)} ", block=message),
+        foreign("WARC-Type: response", "WARC-Record-ID: <urn:uuid:2>", "WARC-Payload-Digest: sha256:00", "Content-Length: 0"),
+        foreign("WARC-Type: revisit", "WARC-Record-ID: <urn:uuid:3>", "WARC-Refers-To: <urn:uuid:1>", "Content-Length: 0"),
+    ]
+    paths = [
+        put(tmp_dir, "one.warc.gz", gzip.compress(b"".join(records))),
+        put(tmp_dir, "none.warc.gz", gzip.compress(b"")),
+        put(tmp_dir, "bytes.warc.gz", b""),
+    ]
+    index = warc.normalise(spark.createDataFrame([(p,) for p in paths], "path string"), f"{tmp_dir}/normal")
+    index.write.parquet(f"{tmp_dir}/index")
+    rows = warc.read_members(spark.read.parquet(f"{tmp_dir}/index"), f"{tmp_dir}/normal", with_payload=True).collect()
+    got = {r.id: (r.record_type, r.payload_bytes, r.payload_digest, r.refers_to, bytes(r.payload)) for r in rows}
+    assert got["<urn:uuid:1>"] == ("response", len(body), sha, None, body)
+    assert got["<urn:uuid:0>"][:2] == ("warcinfo", 3) and got["<urn:uuid:2>"][:2] == ("response", 0)
+    assert got["<urn:uuid:3>"] == ("revisit", None, None, "<urn:uuid:1>", b"") and len(rows) == 4
+
+
+def test_unfinished_archives_are_reported():
+    whole = gzip.compress(warc.record(1, "u", b"payload", "D", None))
+    assert len(list(warc.split_records(warc.inflated(io.BytesIO(whole + whole))))) == 2
+    for cut in (1, 4, 8, 20):  # within the length, the checksum, the block
+        for data in (whole[:-cut], whole + whole[:-cut]):
+            with pytest.raises(ValueError, match="ends within"):
+                list(warc.split_records(warc.inflated(io.BytesIO(data))))
+
+
+def test_headers_that_say_too_little():
+    for fields in (["WARC-Type: response", "Content-Length: 0"], ["WARC-Type: response", "WARC-Record-ID: <a>"], ["WARC-Type: response", "WARC-Record-ID: <a>", "Content-Length: -1"]):
+        with pytest.raises(ValueError, match="a WARC record"):
+            list(warc.split_records(iter([foreign(*fields)])))

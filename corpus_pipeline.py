@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricecube.llm.common import columns, fresh, table, written
+from pricecube.llm.common import columns, drop, fresh, stored, table, written
 from pricecube.llm.decontamination import contaminated
 from pricecube.llm.line_dedup import line_dedup
 from pricecube.llm.near_dedup import near_duplicates
@@ -81,7 +81,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """The last stage's table.  Each stage's scratch tables go once its own table is
+    written, and that one once the next stage's is, so two copies of the documents and
+    one stage's scratch are the most that is held."""
+    docs, before = table(spark, sf_dir, "documents"), []
     for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        given = docs
+        docs, path = stored(lambda: stage(spark, given, sf_dir), spark, f"pipeline-{name}")  # noqa: B023 - called at once
+        drop(spark, before)
+        before = [path]
     return docs

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import distinct_per_text, map_batches, mix, shingle_hashes, table, text_chunks, word_hashes, written
+from .common import LOWER, SPACES, UPPER, distinct_per_text, map_batches, mix, shingle_hashes, table, text_chunks, word_hashes, written
 from .components import components
 
 THRESHOLD = 0.75
@@ -264,3 +264,27 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, id_col: str =
 
 def op8_near_dedup(spark, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+#: Classes of equal sets, their shared shingles counted pair by pair, and all that links reach.
+OP8_SQL = f"""
+with recursive t as (
+  select doc_id, [x for x in string_split_regex(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{SPACES}') if x <> ''] as w from documents
+),
+s as (
+  select doc_id, case when len(w) >= 5 then list_sort(list_distinct([array_to_string(w[i : i + 4], ' ') for i in range(1, len(w) - 3)]))
+                      when len(w) > 0 then [array_to_string(w, ' ')] else [] end as s from t
+),
+classes as (select min(doc_id) as k, s, len(s) as n from s where len(s) > 0 group by s),
+members as (select doc_id, k, len(s.s) as n_shingles from s left join classes c on s.s = c.s),
+shingles as (select k, n, unnest(s) as x from classes),
+links as (
+  select a.k as u, b.k as v from shingles a join shingles b on a.x = b.x and a.k < b.k and 100 * a.n >= 75 * b.n and 100 * b.n >= 75 * a.n
+  group by a.k, b.k, a.n, b.n having 100 * count(*) >= 75 * (a.n + b.n - count(*))
+),
+edges as (select u, v from links union all select v, u from links),
+reach(k, r) as (select k, k from classes union select reach.k, edges.v from reach join edges on reach.r = edges.u),
+least as (select k, min(r) as component_id from reach group by k)
+select doc_id, n_shingles, coalesce(component_id, doc_id) as component_id, doc_id = coalesce(component_id, doc_id) as kept
+from members left join least using (k)
+"""

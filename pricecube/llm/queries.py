@@ -7,10 +7,10 @@ from .exact_dedup import OP2_SQL, op2_exact_dedup
 from .hard_negatives import OP11_SQL, op11_hard_negatives
 from .language_id import op6_language_id
 from .line_dedup import OP9_SQL, op9_line_dedup
-from .near_dedup import op8_near_dedup
+from .near_dedup import OP8_SQL, op8_near_dedup
 from .quality import op7_quality
 from .sentencepiece_bpe import op1_sentencepiece
-from .suffix_dedup import op4_suffix_dedup
+from .suffix_dedup import OP4_SQL, op4_suffix_dedup
 from .token_alignment import op13_token_alignment
 from .topk_search import OP12_SQL, op12_topk_search
 from .url_filter import op5_url_filter
@@ -35,6 +35,8 @@ QUERIES = {
 ORACLES = {
     "op2_exact_dedup": OP2_SQL,
     "op3_decontamination": OP3_SQL,
+    "op4_suffix_dedup": OP4_SQL,
+    "op8_near_dedup": OP8_SQL,
     "op9_line_dedup": OP9_SQL,
     "op10_warc": OP10_SQL,
     "op11_hard_negatives": OP11_SQL,

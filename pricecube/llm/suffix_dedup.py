@@ -382,3 +382,22 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, group: int = GROUP, id
 
 def op4_suffix_dedup(spark, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents"))
+
+
+#: All windows, those that occur twice, their overlaps as spans, and what lies between.
+OP4_SQL = f"""
+with b as (select doc_id, encode(coalesce(text, '')) as b from documents),
+w as (select doc_id, i, b[i + 1 : i + {LENGTH}] as w
+      from (select doc_id, b, unnest(range(0, octet_length(b) - {LENGTH - 1})) as i from b)),
+dup as (select doc_id, i from (select doc_id, i, count(*) over (partition by w) as n from w) where n > 1),
+stepped as (select doc_id, i, i > lag(i, 1, -{LENGTH + 1}) over (partition by doc_id order by i) + {LENGTH} as first from dup),
+numbered as (select doc_id, i, sum(first::int) over (partition by doc_id order by i) as span from stepped),
+spans as (select doc_id, span, min(i) as a, max(i) + {LENGTH} as z from numbered group by all),
+gaps as (select doc_id, a, z, lag(z, 1, 0) over (partition by doc_id order by a) as after from spans),
+cut as (select doc_id, count(*) as n_spans, sum(z - a) as n_removed, max(z) as tail,
+               string_agg(hex(b[after + 1 : a]), '' order by a) as kept
+        from gaps join b using (doc_id) group by doc_id)
+select doc_id, octet_length(b)::bigint as n_bytes, coalesce(n_removed, 0)::bigint as n_removed, coalesce(n_spans, 0) as n_spans,
+       sha256(unhex(coalesce(kept, '') || hex(b[coalesce(tail, 0) + 1 : octet_length(b)]))) as kept_sha256
+from b left join cut using (doc_id)
+"""

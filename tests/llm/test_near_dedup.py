@@ -3,7 +3,7 @@ from __future__ import annotations
 import random
 
 import numpy as np
-from llm_cases import awkward, empty, near_groups, twins
+from llm_cases import awkward, by_name, empty, near_groups, oracle, spark_by_name, twins
 
 from pricecube.llm import near_dedup
 from pricecube.llm.components import components
@@ -79,3 +79,16 @@ def test_words_of_one_polynomial_hash_are_different_words(spark):
     got = {r.doc_id: r.component_id for r in near_duplicates(spark.createDataFrame(docs, "doc_id bigint, text string")).collect()}
     want = near_groups(docs)
     assert got == {i: want[i, t][1] for i, t in docs} and got[4] == 4
+
+
+def test_query_equals_sql(spark, sf_dir):
+    assert spark_by_name(QUERIES["op8_near_dedup"](spark, sf_dir)) == by_name(oracle(near_dedup.OP8_SQL, sf_dir))
+
+
+def test_sql_on_chains_short_and_blank_texts(spark, sf_dir):
+    words = [f"w{i}" for i in range(60)]
+    texts = [" ".join(words[i : i + 50]) for i in range(0, 10, 3)]  # each near the next only
+    texts += ["a b", "A  b\t", "a b c d e", "a b c d e a b c d e", "", " \n", None, "\u00c4 b"]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id bigint, text string")
+    want = by_name(oracle(near_dedup.OP8_SQL, sf_dir, documents=docs.toArrow()))
+    assert spark_by_name(near_duplicates(docs)) == want

@@ -6,7 +6,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
-from llm_cases import awkward, empty, twins
+from llm_cases import awkward, by_name, empty, oracle, spark_by_name, twins
 
 from pricecube.llm import suffix_dedup
 from pricecube.llm.common import prefix_hashes
@@ -113,3 +113,16 @@ def test_texts_of_one_polynomial_hash_are_different_texts(spark):
     docs = spark.createDataFrame([(3, a), (4, b), (5, "x" * 50 + a[:400])], "doc_id bigint, text string")
     check(docs, remove_repeats(docs))
     assert {r.doc_id: r.n_removed for r in remove_repeats(docs).collect()} == {3: 400, 4: 0, 5: 400}
+
+
+def test_query_equals_sql(spark, sf_dir):
+    assert spark_by_name(QUERIES["op4_suffix_dedup"](spark, sf_dir)) == by_name(oracle(suffix_dedup.OP4_SQL, sf_dir))
+
+
+def test_sql_on_spans_that_touch_overlap_and_are_of_many_bytes(spark, sf_dir):
+    draw = random.Random(4)
+    a, b, c = ("".join(draw.choice("ab\u00e9\u6f22 ") for _ in range(260)) for _ in range(3))
+    texts = [a, b, a + b, "x" + a + "y" + b, "z" * 199, "z" * 200, "q" * 201, "q" * 500, c[:150], c, c[40:], None, ""]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id bigint, text string")
+    want = by_name(oracle(suffix_dedup.OP4_SQL, sf_dir, documents=docs.toArrow()))
+    assert spark_by_name(remove_repeats(docs)) == want

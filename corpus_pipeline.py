@@ -20,15 +20,20 @@ from pricecube.llm.sentencepiece_bpe import default_model, tokenize
 
 
 def _keyed(docs: DataFrame) -> tuple[DataFrame, str]:
-    """``docs`` with a key made of id and text, as ids may be null or repeated: a digest
-    that also tells null from empty."""
+    """``docs`` with a key made of id and text, as ids may be null or repeated: 128 bits of
+    a digest that also tells null from empty."""
     key = fresh(docs, "_key")
     parts = [F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("-")) for c in ("doc_id", "text")]
-    return docs.withColumn(key, F.unhex(F.sha2(F.concat_ws(" ", *parts), 256))), key
+    return docs.withColumn(key, F.unhex(F.substring(F.sha2(F.concat_ws(" ", *parts), 256), 1, 32))), key
 
 
-def _without(keyed: DataFrame, gone: DataFrame, key: str, docs: DataFrame) -> DataFrame:
+def _without(keyed: DataFrame, gone: DataFrame, key: str, docs: DataFrame, share: bool = False) -> DataFrame:
+    """The rows of ``docs`` whose key is not in ``gone``.  Where a ``share`` of the corpus
+    goes, the keys outgrow any broadcast: the texts are dealt by key at every size, and
+    met by hash, so they are not sorted."""
     gone = written(gone.select(key).distinct(), "gone")
+    if share:
+        gone = gone.hint("shuffle_hash")
     return keyed.join(gone, key, "left_anti").select(*columns(docs))
 
 
@@ -52,7 +57,7 @@ def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     Rows of one id and one text stay or go together."""
     keyed, key = _keyed(docs)
     found = near_duplicates(keyed, carry={key: F.col(key)})
-    return _without(keyed, found.where(~F.col("kept")), key, docs)
+    return _without(keyed, found.where(~F.col("kept")), key, docs, share=True)
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

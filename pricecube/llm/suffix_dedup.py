@@ -32,11 +32,15 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import CHUNK_BYTES, map_batches, mix, powers, prefix_hashes, range_hashes, table, text_chunks, written
+from .common import map_batches, mix, powers, prefix_hashes, range_hashes, table, text_chunks, written
 
 LENGTH, GRAM = 200, 40
+#: Bytes that a task looks at together: numpy's arrays of them take some hundred bytes for each.
+CHUNK_BYTES = 1 << 20
+#: Bytes or pairs that the steps over a whole group hold in wide arrays at once.
+SLICE = 1 << 18
 #: Different contexts of an anchor that one task sorts at most: of at most 360
-#: bytes each, so up to 18 MB and some seconds.
+#: bytes each, so up to 18 MB, their hashes (8 bytes for each byte) and some seconds.
 GROUP = 50_000
 
 
@@ -107,7 +111,7 @@ def found_anchors(docs: DataFrame, length: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, _, data, offsets in text_chunks(batch.column(0)):
+            for _, _, data, offsets in text_chunks(batch.column(0), CHUNK_BYTES):
                 names = text_names(data, offsets)
                 for part, at, base in _pieces(data, offsets, length):
                     gram, context, text, q, a, b = anchors(part, at, length)
@@ -121,12 +125,26 @@ def found_anchors(docs: DataFrame, length: int) -> DataFrame:
 # --- suffix sorting --------------------------------------------------------------
 
 
+def suffix_hashes(data: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """``prefix_hashes`` whose powers begin anew at each of ``start``, so equal pieces of two
+    suffixes, as far from their starts, have equal differences.  Made in slices: besides
+    the result nothing wide grows with the data."""
+    order, n = np.sort(start), len(data)
+    weights = powers(int(np.diff(np.append(order, n)).max(initial=0)) + 1)[0]
+    out = np.zeros(n + 1, np.uint64)
+    for i in range(0, n, SLICE):
+        at = np.arange(i, min(i + SLICE, n))
+        begin = order[np.maximum(np.searchsorted(order, at, "right") - 1, 0)]
+        out[at + 1] = np.cumsum((data[at].astype(np.uint64) + np.uint64(1)) * weights[np.maximum(at - begin, 0)]) + out[i]
+    return out
+
+
 class Suffixes:
-    """Suffixes of a byte array, each with an end, compared by prefix hashes."""
+    """Suffixes of a byte array, each with an end and none in another, compared by prefix hashes."""
 
     def __init__(self, data: np.ndarray, start: np.ndarray, size: np.ndarray):
         self.data, self.start, self.size = np.append(data, np.uint8(0)), start, size
-        self.prefix, self.inverse = prefix_hashes(data), powers(len(data) + 1)[1]
+        self.prefix = suffix_hashes(data, start)
 
     def common(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
         """Lengths of common extensions, by binary search over their bits."""
@@ -137,7 +155,7 @@ class Suffixes:
             fits = step <= limit
             step = np.where(fits, step, out)
             a, b, c, d = p + out, p + step, q + out, q + step
-            same = (self.prefix[b] - self.prefix[a]) * self.inverse[a] == (self.prefix[d] - self.prefix[c]) * self.inverse[c]
+            same = self.prefix[b] - self.prefix[a] == self.prefix[d] - self.prefix[c]  # as far from their starts
             out = np.where(fits & same, step, out)
         return out
 
@@ -185,12 +203,17 @@ class Suffixes:
     def verified(self, order: np.ndarray, shared: np.ndarray, later: np.ndarray) -> bool:
         """Whether neighbours do agree in the bytes that their hashes say, and
         are in order by the first byte after those."""
-        x, y, n = order[later - 1], order[later], shared[later]
-        step = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
-        same = self.data[np.repeat(self.start[x], n) + step] == self.data[np.repeat(self.start[y], n) + step]
-        short = n == self.size[x]
-        rising = self.data[self.start[x] + n] < self.data[self.start[y] + n]
-        return bool(same.all() and (short | ((n < self.size[y]) & rising)).all())
+        pairs = SLICE // max(1, int(shared.max(initial=1))) + 1
+        for i in range(0, len(later), pairs):
+            at = later[i : i + pairs]
+            x, y, n = order[at - 1], order[at], shared[at]
+            step = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+            same = self.data[np.repeat(self.start[x], n) + step] == self.data[np.repeat(self.start[y], n) + step]
+            short = n == self.size[x]
+            rising = self.data[self.start[x] + n] < self.data[self.start[y] + n]
+            if not (same.all() and (short | ((n < self.size[y]) & rising)).all()):
+                return False
+        return True
 
     def sorted_by_bytes(self, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The same without hashes, for batches in which two hashes collided."""
@@ -238,7 +261,7 @@ def packed(docs: DataFrame, id_type: str | None) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         zip_ = zstandard.ZstdCompressor(level=3)
         for batch in batches:
-            for row, end, data, offsets in text_chunks(batch.column("_text")):
+            for row, end, data, offsets in text_chunks(batch.column("_text"), CHUNK_BYTES):
                 each = [data[a:b] for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
                 names = text_names(data, offsets)
                 columns = [pa.array(names[:, 0]), pa.array(names[:, 1]), pa.array([zip_.compress(x.tobytes()) for x in each], pa.binary())]

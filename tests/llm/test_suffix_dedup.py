@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -107,6 +108,22 @@ def test_verification_sees_a_collision():
     assert not s.verified(order, np.array([-1, 4]), np.array([1]))
 
 
+def test_a_large_group_takes_little_memory():
+    """20,000 contexts of an anchor (7 MB), as at the edge of a passage in very many texts."""
+    draw, n = np.random.default_rng(3), 20_000
+    passage = draw.integers(97, 123, 240, np.uint8).tobytes()
+    contexts = [draw.integers(97, 123, 120, np.uint8).tobytes() + passage for _ in range(n)]
+    one, hi = np.ones(n, np.int64), np.full(n, 160)
+    tracemalloc.start()
+    try:
+        found = suffix_dedup.repeated_windows(np.zeros(n, np.int64), one, one * 0, hi, contexts, 200)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert len(found) == n and (found[:, 1] == 0).all() and (found[:, 2] >= 40).all()  # the rest agrees by chance
+    assert peak < 20 * n * 360
+
+
 def test_texts_of_one_polynomial_hash_are_different_texts(spark):
     a, b = twins()
     assert prefix_hashes(np.frombuffer(a.encode(), np.uint8))[-1] == prefix_hashes(np.frombuffer(b.encode(), np.uint8))[-1]

@@ -26,8 +26,7 @@ _CLOCK = r"\d{1,2}:\d{2}(:\d{2}(\.\d+)?)?"
 
 
 def _dated(v: Column, pattern: str, year: int, month: int, day: int) -> Column:
-    parts = [F.regexp_extract(v, pattern, i) for i in (year, month, day)]
-    return F.when(v.rlike(pattern), F.concat_ws("-", *parts).try_cast("date"))
+    return F.when(v.rlike(pattern), F.regexp_replace(v, pattern, f"${year}-${month}-${day}").try_cast("date"))
 
 
 def _ymd(v: Column) -> Column:
@@ -68,6 +67,33 @@ TYPES = [
     ("TIMESTAMP WITH TIME ZONE", "timestamp", _moment(r"(Z|[+-]\d{2}(:?\d{2})?)", "timestamp")),
 ]
 TEXT = "VARCHAR"
+_ALL = (1 << len(TYPES)) - 1
+_BOOLEAN, _BIGINT, _HUGEINT, _DOUBLE, _YMD, _DMY, _MDY, _MOMENT, _ZONED = range(len(TYPES))
+
+
+def _misfits(v: Column) -> Column:
+    """The misfits of one value.  Its first character and signs say which few types it may
+    fit, and only those are tried; a value of the group's narrowest type is not tried
+    further, as it fits the wider ones and no other type."""
+
+    def but(*fitted: int) -> int:
+        return _ALL - sum(1 << k for k in fitted)
+
+    def tried(first: int, wider: Sequence[int], *others: int) -> Column:
+        bits = F.lit(but(first, *wider, *others)) + F.lit(1 << first)
+        for k in (*wider, *others):
+            bits = bits + F.when(TYPES[k][2](v).isNull(), F.lit(1 << k)).otherwise(F.lit(0))
+        return F.when(TYPES[first][2](v).isNotNull(), F.lit(but(first, *wider))).otherwise(bits)
+
+    numeric = F.substring(v, 1, 1).between("-", "9")  # a sign, a point or a digit
+    separated = F.contains(v, F.lit("/")) | (F.locate("-", v, 2) > 0)  # of a date, or of an exponent
+    return (
+        F.when(~numeric, tried(_BOOLEAN, [], _DOUBLE))  # nan
+        .when(F.contains(v, F.lit(":")), tried(_MOMENT, [], _ZONED))
+        .when(separated, tried(_YMD, [], _DMY, _MDY, _DOUBLE))
+        .otherwise(tried(_BIGINT, [_HUGEINT, _DOUBLE]))
+        .cast("bigint")
+    )
 
 
 def _value(c: str) -> Column:
@@ -75,20 +101,22 @@ def _value(c: str) -> Column:
     return F.when(v != "", F.trim(v))
 
 
-def misfits(columns: Sequence[str]) -> list[Column]:
-    """For each column the OR of its values' misfits, NULL when it has no value."""
-    out = []
-    for i, c in enumerate(columns):
-        v, bits = _value(c), F.lit(0).cast("bigint")
-        for k, (_, _, fitted) in enumerate(TYPES):
-            bits = bits + F.when(fitted(v).isNull(), F.lit(1 << k)).otherwise(F.lit(0))
-        out.append(F.bit_or(F.when(v.isNotNull(), bits)).alias(f"_m{i}"))
-    return out
+def _each(columns: Sequence[str]) -> Column:
+    """The misfits of a row's values, NULL for those that are missing.  One expression for all
+    columns: code made for each of them would be too long for the JVM to compile."""
+    values = F.array(*[_value(c) for c in columns]) if columns else F.array().cast("array<string>")
+    return F.transform(values, lambda v: F.when(v.isNotNull(), _misfits(v)))
+
+
+def misfits(columns: Sequence[str], each: str) -> list[Column]:
+    """For each column the OR of its values' misfits, NULL when it has no value; ``each`` is
+    the column of ``_each``."""
+    return [F.bit_or(F.get(each, F.lit(i))).alias(f"_m{i}") for i in range(len(columns))]
 
 
 def detect_types(texts: DataFrame) -> DataFrame:
     """(ordinal_position, column_name, data_type) of a table of texts: one aggregate."""
-    found = texts.agg(*misfits(texts.columns))
+    found = texts.select(_each(texts.columns).alias("_each")).agg(*misfits(texts.columns, "_each"))
     rows = []
     for i, c in enumerate(texts.columns):
         kind, mask = F.lit(TEXT), F.col(f"_m{i}")
@@ -123,6 +151,10 @@ def load_detected(spark: SparkSession, path: str, target: str) -> DataFrame:
     texts are written, and the types are put on the stored table."""
     texts = read_texts(spark, path)
     seen = Observation("misfits")
-    texts.observe(seen, *misfits(texts.columns)).write.mode("overwrite").parquet(target)
+    each = "_each"
+    while each in (c.lower() for c in texts.columns):
+        each += "_"
+    watched = texts.withColumn(each, _each(texts.columns)).observe(seen, *misfits(texts.columns, each))
+    watched.select(*[F.col("`" + c.replace("`", "``") + "`") for c in texts.columns]).write.mode("overwrite").parquet(target)
     stored = spark.read.schema(texts.schema).parquet(target)
     return typed(stored, [seen.get[f"_m{i}"] for i in range(len(texts.columns))])

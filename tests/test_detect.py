@@ -6,6 +6,7 @@ import os
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from pricecube.sources import detect
 
@@ -65,3 +66,15 @@ def test_small_tables(spark, tmp_dir, rows):
     got = [(r.ordinal_position, r.column_name, r.data_type) for r in detect.detect_types(detect.read_texts(spark, f"{tmp_dir}/in")).collect()]
     assert got == [(1, "id", "VARCHAR"), (2, "n", "BIGINT" if rows else "VARCHAR"), (3, "a.b", "DATE" if rows else "VARCHAR")]
     assert detect.load_detected(spark, f"{tmp_dir}/in", f"{tmp_dir}/out").count() == rows
+
+
+def test_one_expression_for_all_columns(spark, tmp_dir):
+    """The code that tries the types does not grow with the columns, and gives what trying each type gives."""
+    write(f"{tmp_dir}/in", COLUMNS | {"odd": ["1e-5", "1:2"], "sign": ["-2020-01-01", "/"], "mixed": ["nan", "2020-1-1"], "line": ['"1\n"', "é"]})
+    texts = detect.read_texts(spark, f"{tmp_dir}/in")
+    plans = [detect.detect_types(texts.select(*texts.columns[:n]))._jdf.queryExecution().executedPlan().toString() for n in (2, len(texts.columns))]
+    assert plans[0].count("RLIKE") == plans[1].count("RLIKE") > 0
+    tried = F.transform(F.array(*map(detect._value, texts.columns)), lambda v: F.when(v.isNotNull(), sum(F.when(f(v).isNull(), F.lit(1 << k)).otherwise(F.lit(0)) for k, (_, _, f) in enumerate(detect.TYPES)).cast("bigint")))
+    want = texts.select(tried.alias("e")).agg(*detect.misfits(texts.columns, "e")).first()
+    got = texts.select(detect._each(texts.columns).alias("e")).agg(*detect.misfits(texts.columns, "e")).first()
+    assert tuple(got) == tuple(want)

@@ -74,3 +74,12 @@ def test_export_narrows_decimals_and_summary(spark, tmp_dir):
     s = {r.table_name: r.rows for r in publish.export_all(spark, [("t1", df), ("t2", df.union(df))], f"{tmp_dir}/all").collect()}
     assert s == {"t1": 1, "t2": 2, "TOTAL": 3}
     assert spark.read.parquet(f"{tmp_dir}/all/t2").count() == 2
+
+
+def test_csv_files_are_bounded(spark, tmp_dir, monkeypatch):
+    """A task reads a whole file, so files do not grow with the writer's partitions."""
+    monkeypatch.setattr(files, "ROWS_PER_FILE", 10)
+    rows = spark.range(95).selectExpr("id", "concat(id, '\n\"') as text").coalesce(1)
+    files.write_csv(rows, f"{tmp_dir}/csv")
+    back = files.read_csv(spark, f"{tmp_dir}/csv", rows.schema)
+    assert len(back.inputFiles()) == 10 and sorted(back.collect()) == sorted(rows.collect())

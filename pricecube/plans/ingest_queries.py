@@ -176,7 +176,8 @@ DIGITS = [f"d{k}" for k in range(5)]
 
 def large_documents(spark, sf_dir):
     """All of ``obs`` as one document for each dataset, a cell a line: the flat index is
-    ``obs_id``, whose digits are the positions.  A file is written in order by one task."""
+    ``obs_id``, whose digits are the positions.  A document is written in parts, each a
+    range of the cells, by as many tasks."""
     o = fx.obs(spark, sf_dir).groupBy(cube.dataset_code(F.col("consumer_type")).alias("dataset"), "obs_id")
     o = o.agg(F.min("value_eur_per_kwh").alias("v"))
     codes = F.map_from_entries(F.transform(F.sequence(F.lit(0), F.lit(99)), lambda i: F.struct(F.format_string("c%02d", i), i)))
@@ -191,7 +192,8 @@ def large_documents(spark, sf_dir):
         F.when(at == F.col("last"), '\n}, "source": "one, {large} document"}').otherwise(","),
     )
     path = scratch_path(spark, "large")
-    ordered = o.join(ends, "dataset").select("dataset", at, line.alias("value")).repartition("dataset").sortWithinPartitions("dataset", "obs_id")
+    ordered = o.join(F.broadcast(ends), "dataset").select("dataset", at, line.alias("value"))  # ends: a row a dataset
+    ordered = ordered.repartitionByRange("dataset", "obs_id").sortWithinPartitions("dataset", "obs_id")
     ordered.select("dataset", "value").write.partitionBy("dataset").text(path)
     return path
 
@@ -207,7 +209,7 @@ def large_documents(spark, sf_dir):
     + ", min(value_eur_per_kwh) as value_eur_per_kwh from obs group by consumer_type, obs_id",
 )
 def q_cube_split_decode(spark, sf_dir):
-    rows = split.split_decode(spark, large_documents(spark, sf_dir), value_col="value_eur_per_kwh")
+    rows = split.split_decode(spark, large_documents(spark, sf_dir), value_col="value_eur_per_kwh", parts=True)
     return rows.withColumn("consumer_type", cube.dataset_label(F.col("dataset"))).drop("dataset")
 
 

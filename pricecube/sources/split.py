@@ -14,8 +14,10 @@ and each task gets the pieces of its range, nearly all of them single cells.
   file, and meet the cells there.  A document is never one join key, so its cells stay
   in as many tasks as it has ranges.
 
-A file holds one document; files of many documents have ranges and tasks enough and
-are read by ``documents``.
+A file holds one document, or with ``parts`` a folder's files do, in the order of their
+names: a document that many tasks wrote, each from after a comma between cells (or the
+beginning) on.  Files of many documents have ranges and tasks enough and are read by
+``documents``.
 """
 
 from __future__ import annotations
@@ -35,42 +37,49 @@ CELL = r'^\s*"\s*([+-]?\d+)\s*"\s*:\s*(null|-?\d[0-9.eE+-]*)\s*$'
 GONE, DONE = "\x01", "\x02"
 
 
-def pieces(spark: SparkSession, path: str) -> DataFrame:
-    """(path, block, seq, text, opens, closes, and the landed folders' columns): the texts
-    between the commas of all files, in the order of (block, seq).  ``block`` is where
-    the range that the piece was read in begins."""
+def pieces(spark: SparkSession, path: str, parts: bool = False) -> DataFrame:
+    """(path, _file, block, seq, text, opens, closes, and the landed folders' columns): the
+    texts between the commas of all documents, in the order of (_file, block, seq).
+    ``path`` is the document's, a file or with ``parts`` a folder; ``_file`` is the file's
+    name and ``block`` where the range that the piece was read in begins."""
     read = spark.read.text(path, lineSep=",")
     folders = [c for c in read.columns if c != "value"]
-    place = [F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block")]
+    file = F.col("_metadata.file_path")
+    document = F.regexp_replace(file, "/[^/]*$", "") if parts else file
+    place = [document.alias("path"), F.col("_metadata.file_name").alias("_file"), F.col("_metadata.file_block_start").alias("block")]
     found = read.select("value", *folders, *place).withColumn("seq", F.monotonically_increasing_id())
     opens = F.col("value").rlike(OPENS)
     after = F.when(opens, F.regexp_extract("value", OPENS, 2)).otherwise(F.col("value"))
-    out = found.select("path", "block", "seq", F.col("value").alias("text"), opens.alias("opens"), F.contains(after, F.lit("}")).alias("closes"), *folders)
+    out = found.select("path", "_file", "block", "seq", F.col("value").alias("text"), opens.alias("opens"), F.contains(after, F.lit("}")).alias("closes"), *folders)
     target = scratch_path(spark, "pieces")  # numbered once: all later steps see the same order
     out.write.parquet(target)
     return spark.read.schema(out.schema).parquet(target)
 
 
-def _at(block: str = "block", seq: str = "seq") -> Column:
-    return F.struct(F.col(block).alias("block"), F.col(seq).alias("seq"))
+#: A range of a document's file.
+RANGE = ["path", "_file", "block"]
+
+
+def _at() -> Column:
+    return F.struct("_file", "block", "seq")
 
 
 def bounds(found: DataFrame) -> DataFrame:
-    """(path, block, first, last): for each range of a file, where its document's cells
+    """(path, _file, block, first, last): for each range of a file, where its document's cells
     begin and end (NULL where it has none, or is cut off within them)."""
-    ranges = found.groupBy("path", "block").agg(F.max("closes").alias("closes"))
+    ranges = found.groupBy(*RANGE).agg(F.max("closes").alias("closes"))
     first = found.where("opens").groupBy("path").agg(F.min(_at()).alias("first"), F.count(F.lit(1)).alias("n"))
     several = F.raise_error(F.concat(F.col("path"), F.lit(" holds the cells of more than one document")))
     first = first.where(F.when(F.col("n") > 1, several.cast("boolean")).otherwise(F.lit(True))).drop("n")
     opened = ranges.drop("closes").join(first, "path", "left")
-    closing = found.where("closes").select("path", "block", "seq").join(opened.where("first is not null"), ["path", "block"])
+    closing = found.where("closes").select(*RANGE, "seq").join(opened.where("first is not null"), RANGE)
     last = closing.where(_at() >= F.col("first")).groupBy("path").agg(F.min(_at()).alias("last"))
     return opened.join(last, "path", "left")
 
 
 def heads(found: DataFrame, ranges: DataFrame, folders: Sequence[str]) -> DataFrame:
-    """(doc, path, reason, folders): each file's document without its cells."""
-    joined = found.join(ranges, ["path", "block"])
+    """(doc, path, reason, folders): each document without its cells."""
+    joined = found.join(ranges, RANGE)
     opening, closing = F.coalesce(_at() == F.col("first"), F.lit(False)), F.coalesce(_at() == F.col("last"), F.lit(False))
     outside = joined.where(F.col("first").isNull() | (_at() <= F.col("first")) | F.coalesce(_at() >= F.col("last"), F.lit(False)))
     before, tail = F.regexp_extract("text", OPENS, 1), F.regexp_extract("text", r"(?s)(\}.*)$", 1)
@@ -81,18 +90,25 @@ def heads(found: DataFrame, ranges: DataFrame, folders: Sequence[str]) -> DataFr
         .when(closing, F.concat(F.lit(DONE), tail))
         .otherwise(F.col("text"))
     )
-    held = outside.groupBy("path", *folders).agg(F.array_sort(F.collect_list(F.struct("block", "seq", part.alias("part")))).alias("parts"))
-    text = F.replace(F.array_join(F.transform("parts", lambda p: p["part"]), ","), F.lit(f"{GONE},{DONE}"), F.lit(""))
+    held = outside.groupBy("path", *folders).agg(F.array_sort(F.collect_list(F.struct("_file", "block", "seq", part.alias("piece")))).alias("pieces"))
+
+    def joint(p: Column, i: Column) -> Column:
+        """The comma before a piece; files are cut after one that their last piece follows."""
+        before = F.get("pieces", i - 1)
+        cut = before.isNull() | (before["_file"] != p["_file"]) | F.startswith(p["piece"], F.lit(DONE))
+        return F.concat(F.when(cut, F.lit("")).otherwise(F.lit(",")), p["piece"])
+
+    text = F.replace(F.array_join(F.transform("pieces", joint), ""), F.lit(f"{GONE}{DONE}"), F.lit(""))
     return documents.documents(held.select("path", *folders, text.alias("value")), "whole")
 
 
-def split_decode(spark: SparkSession, path: str, dims: Sequence[str] | None = None, value_col: str = "value") -> DataFrame:
+def split_decode(spark: SparkSession, path: str, dims: Sequence[str] | None = None, value_col: str = "value", parts: bool = False) -> DataFrame:
     """The rows that ``cube.decode`` gives of the documents under ``path``, with a column
     for each landed folder, each range of a file decoded in its own task.  Without ``dims``
     all dimensions that the documents list are decoded.  A broken document fails the
     read with its path, as does a cell that is not a number."""
-    found = pieces(spark, path)
-    folders = found.columns[6:]
+    found = pieces(spark, path, parts)
+    folders = found.columns[7:]
     target = scratch_path(spark, "ranges")
     bounds(found).write.parquet(target)
     ranges = spark.read.parquet(target)
@@ -103,15 +119,16 @@ def split_decode(spark: SparkSession, path: str, dims: Sequence[str] | None = No
     if dims is None:
         dims = cube.document_dims(headed)
     looked_up = cube.lookups(headed, dims, ["path"])
-    within = found.select("path", "block", "seq", "text", *folders).join(ranges, ["path", "block"])
+    within = found.select(*RANGE, "seq", "text", *folders).join(ranges, RANGE)
     # Up to the last closing brace of a whole document; a document cut off in its cells has none and fails as a head.
     within = within.where((_at() >= F.col("first")) & (_at() <= F.col("last")))
     own = F.when(_at() == F.col("first"), F.regexp_extract("text", OPENS, 2)).otherwise(F.col("text"))
     own = F.substring_index(own, "}", 1)
-    cells = within.select("path", "block", *folders, own.alias("own")).where(F.col("own").rlike(r"\S"))
+    cells = within.select(*RANGE, *folders, own.alias("own")).where(F.col("own").rlike(r"\S"))
     index, value = F.regexp_extract("own", CELL, 1), F.regexp_extract("own", CELL, 2)
     wrong = F.raise_error(F.concat(F.lit("broken document in "), F.col("path"), F.lit(": a cell that is not a number: "), F.left("own", F.lit(80))))
     number = F.when(index == "", wrong.cast("bigint")).otherwise(index.cast("bigint"))
-    cells = cells.select("path", "block", *folders, number.alias("_key"), F.when(value != "null", value.cast("double")).alias(value_col))
-    spread = ranges.select("path", "block").join(looked_up, "path")  # a head for each range
-    return cube.positioned(cells.join(spread, ["path", "block"]), dims, folders, value_col)
+    cells = cells.select(*RANGE, *folders, number.alias("_key"), F.when(value != "null", value.cast("double")).alias(value_col))
+    spread, target = ranges.select(*RANGE).join(looked_up, "path"), scratch_path(spark, "spread")  # a head for each range
+    spread.write.parquet(target)  # of a known size: if small, cells stay in their tasks
+    return cube.positioned(cells.join(spark.read.schema(spread.schema).parquet(target), RANGE), dims, folders, value_col)

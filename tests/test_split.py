@@ -59,3 +59,25 @@ def test_a_million_cells_in_many_tasks(spark, tmp_dir):
         assert tuple(got)[:3] == (n * n, n * n, n * n) and got[3] > 1
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+@pytest.mark.parametrize("split_bytes", ["64", "1000000"])
+def test_a_document_in_parts(spark, tmp_dir, split_bytes):
+    """Files cut after the commas between cells, as many tasks write them, are one document."""
+    head = {"id": ["a"], "size": [40], "label": 'a, "b": {', "dimension": {"a": {"category": {"index": {f"c{i}": i for i in range(40)}}}}}
+    for k, n in (("x", 40), ("y", 7)):
+        lines = json.dumps(head | {"value": {str(i): i / 8 for i in range(n)}, "note": "x, y"}).replace('"value": {', '"value": {\n').replace(', "', ',\n"').split("\n")
+        at = [i for i, line in enumerate(lines) if line.endswith('"value": {')][0]
+        cuts = [0, at + 2, at + 3, at + n - 1, len(lines)]
+        os.makedirs(f"{tmp_dir}/dataset={k}")
+        for j, (i, z) in enumerate(zip(cuts, cuts[1:], strict=False)):
+            with open(f"{tmp_dir}/dataset={k}/part-{j:05d}.txt", "w") as f:
+                f.write("".join(line + "\n" for line in lines[i:z]))
+        with open(f"{tmp_dir}/dataset={k}/part-00001b.txt", "w") as f:
+            f.write("\n\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split_bytes)
+    try:
+        got = split.split_decode(spark, tmp_dir, parts=True).select("dataset", "a", "value").collect()
+        assert sorted(map(tuple, got)) == sorted((k, f"c{i}", i / 8) for k, n in (("x", 40), ("y", 7)) for i in range(n))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")

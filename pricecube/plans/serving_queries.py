@@ -452,11 +452,14 @@ def q_publish_versions(spark, sf_dir):
 
 def landed_loads(spark, sf_dir, source=fx.raw):
     """The raw rows of three loads, each in its own folder: odd years, even years, and
-    rows of all years that came late.  Gives a reader of one load's staging rows."""
+    rows of all years that came late.  Gives a reader of one load's staging rows.
+
+    Writing by load sorts a task's rows by load, so they are dealt to tasks of one size."""
     path, year = scratch_path(spark, "loads"), F.left("time", F.lit(4)).cast("int")
     late = F.pmod(F.xxhash64("geo", "time", "value_eur_per_kwh"), F.lit(10)) == 0
     load = F.when(late, 3).otherwise(F.pmod(year, F.lit(2)) + 1)
-    source(spark, sf_dir).withColumn("load", load).write.partitionBy("load").parquet(path)
+    dealt = source(spark, sf_dir).withColumn("load", load).hint("rebalance", "geo", "time", "value_eur_per_kwh")
+    dealt.write.partitionBy("load").parquet(path)
     return lambda k: staging(spark.read.parquet(f"{path}/load={k}"))
 
 

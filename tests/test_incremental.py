@@ -11,6 +11,7 @@ from test_annual import any_labels, stg_rows
 from pricecube.operators import annual, incremental, quality, versions
 from pricecube.operators.staging import staging
 from pricecube.plans import fixtures as fx
+from pricecube.plans.serving_queries import landed_loads
 
 
 def bag(df):
@@ -81,3 +82,14 @@ def test_suite_of_all_loads(spark, tmp_dir):
     want = quality.suite([("stg", everything, rules), ("other", everything.limit(0), [quality.not_null("period")])])
     assert bag(got) == bag(want)
     assert versions.latest(spark, tmp_dir) == len(parts)
+
+
+def test_loads_land_in_tasks_of_one_size(spark, sf_dir):
+    """However many rows a partition has, a task that writes (and sorts) them gets a bounded share."""
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "100k")
+    try:
+        new = landed_loads(spark, sf_dir, lambda *a: fx.raw(*a).crossJoin(spark.range(10)).drop("id").repartition(8))
+        assert len(new(1).inputFiles()) > 8
+        assert sum(new(k).count() for k in (1, 2, 3)) == 10 * staging(fx.raw(spark, sf_dir)).count()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")

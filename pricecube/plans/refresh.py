@@ -3,8 +3,8 @@
 landed cube documents -> decode + year filter + names -> tidy CSV -> raw (load
 once, batch timestamp) -> staging view -> annual mart -> quality gate ->
 published tables -> report.  Jobs run only to learn the documents' dimensions,
-at the sinks (CSV, raw load, the gate's writes) and when the caller reads the
-report.  Every later step reads files, never the whole upstream plan again.
+at the sinks (the rows to tidy, CSV, raw load, the gate's writes) and when the caller
+reads the report.  Every later step reads files, never the whole upstream plan again.
 """
 
 from __future__ import annotations

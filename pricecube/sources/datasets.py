@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 
 from pricecube.constants import COUNTRIES, END_YEAR, RAW_PRIORITY, RAW_SORT, START_YEAR
 from pricecube.functions import in_year_range
+from pricecube.session import scratch_path
+
+#: Rows that one task sorts at most; a raw row takes about half a kilobyte there.
+SORT_ROWS = 1_000_000
 
 
 class NoDataError(RuntimeError):
@@ -95,8 +99,16 @@ def tidy(frames: Sequence[DataFrame], names=COUNTRIES, sort: Sequence[str] = RAW
 
     The sort is a distributed range-partitioned sort.  All other columns follow
     ``sort`` as tie-breaks, so the rows of one hot sort key can still be split
-    over partitions, and the order is the same on every run.
+    over partitions, and the order is the same on every run.  The rows are stored
+    first (a job): Spark reads them twice, to find the ranges and to deal them, and
+    their number says into how many ranges, so a task's share does not grow.
     """
     df = reorder(lookup_country(union_datasets(frames), names))
-    keys = [*sort, *[c for c in df.columns if c not in sort]]
-    return df.orderBy(*[F.col(c).asc_nulls_last() for c in keys])
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, "untidy")
+    df.write.parquet(path)
+    held = spark.read.schema(df.schema).parquet(path)
+    keys = [F.col(c).asc_nulls_last() for c in [*sort, *[c for c in df.columns if c not in sort]]]
+    ranges = -(-held.count() // SORT_ROWS)  # from the files' footers
+    if ranges <= int(spark.conf.get("spark.sql.shuffle.partitions")):
+        return held.orderBy(*keys)
+    return held.repartitionByRange(ranges, *keys).sortWithinPartitions(*keys)

@@ -179,7 +179,10 @@ def large_documents(spark, sf_dir):
     ``obs_id``, whose digits are the positions.  A document is written in parts, each a
     range of the cells, by as many tasks."""
     o = fx.obs(spark, sf_dir).groupBy(cube.dataset_code(F.col("consumer_type")).alias("dataset"), "obs_id")
-    o = o.agg(F.min("value_eur_per_kwh").alias("v"))
+    stored = scratch_path(spark, "cells")
+    (o := o.agg(F.min("value_eur_per_kwh").alias("v"))).write.parquet(stored)
+    o = spark.read.schema(o.schema).parquet(stored)
+    ranges = datasets.sort_ranges(spark, o.count())
     codes = F.map_from_entries(F.transform(F.sequence(F.lit(0), F.lit(99)), lambda i: F.struct(F.format_string("c%02d", i), i)))
     category = F.struct(codes.alias("index"), F.transform_values(codes, lambda c, _: F.upper(c)).alias("label"))
     dims = F.create_map(*[x for d in DIGITS for x in (F.lit(d), F.struct(category.alias("category")))])
@@ -193,7 +196,7 @@ def large_documents(spark, sf_dir):
     )
     path = scratch_path(spark, "large")
     ordered = o.join(F.broadcast(ends), "dataset").select("dataset", at, line.alias("value"))  # ends: a row a dataset
-    ordered = ordered.repartitionByRange("dataset", "obs_id").sortWithinPartitions("dataset", "obs_id")
+    ordered = ordered.repartitionByRange(*([ranges] if ranges else []), "dataset", "obs_id").sortWithinPartitions("dataset", "obs_id")
     ordered.select("dataset", "value").write.partitionBy("dataset").text(path)
     return path
 

@@ -94,6 +94,13 @@ def reorder(df: DataFrame, priority: Sequence[str] = RAW_PRIORITY) -> DataFrame:
     return df.select(*first, *[c for c in df.columns if c not in first])
 
 
+def sort_ranges(spark: SparkSession, rows: int) -> int | None:
+    """Into how many ranges to deal rows for a sort, where the session's number of shuffle
+    partitions would give a task more than ``SORT_ROWS``."""
+    ranges = -(-rows // SORT_ROWS)
+    return ranges if ranges > int(spark.conf.get("spark.sql.shuffle.partitions")) else None
+
+
 def tidy(frames: Sequence[DataFrame], names=COUNTRIES, sort: Sequence[str] = RAW_SORT) -> DataFrame:
     """Union, look up names, reorder, sort (ascending, NULLs last).
 
@@ -108,7 +115,5 @@ def tidy(frames: Sequence[DataFrame], names=COUNTRIES, sort: Sequence[str] = RAW
     df.write.parquet(path)
     held = spark.read.schema(df.schema).parquet(path)
     keys = [F.col(c).asc_nulls_last() for c in [*sort, *[c for c in df.columns if c not in sort]]]
-    ranges = -(-held.count() // SORT_ROWS)  # from the files' footers
-    if ranges <= int(spark.conf.get("spark.sql.shuffle.partitions")):
-        return held.orderBy(*keys)
-    return held.repartitionByRange(ranges, *keys).sortWithinPartitions(*keys)
+    ranges = sort_ranges(spark, held.count())  # from the files' footers
+    return held.repartitionByRange(ranges, *keys).sortWithinPartitions(*keys) if ranges else held.orderBy(*keys)

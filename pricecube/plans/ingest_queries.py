@@ -299,7 +299,7 @@ def q_raw_tidy(spark, sf_dir):
     house, ind = _split(spark, sf_dir)
     house = house.withColumn("unit_label", F.lit("Kilowatt-hour"))
     frames = [f.select(*[c for c in fx.RAW_COLUMNS if c != "country_name"]) for f in (house, ind)]
-    return datasets.tidy(frames, names=fx.COUNTRY_DICT)
+    return datasets.tidy(frames, names=fx.COUNTRY_DICT, stored=True)
 
 
 # --- landing and loading -----------------------------------------------------------

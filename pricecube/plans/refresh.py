@@ -46,7 +46,7 @@ def refresh(
         rows = cube.decode(docs, dims, carry=["dataset"], value_col="value_eur_per_kwh")
         rows = rows.withColumn("consumer_type", cube.dataset_label(rows["dataset"], labels)).drop("dataset")
         rows = datasets.require_rows(datasets.filter_year_range(rows, start, end))
-        tidied = datasets.tidy([rows], names)
+        tidied = datasets.tidy([rows], names, stored=True)
         landed = files.write_csv(tidied, f"{root}/_csv/{uuid.uuid4().hex}")
         source = files.read_csv(spark, landed, tidied.schema)
         _, raw = publish.load_once(spark, source, raw_path, as_of=as_of, refresh=reload)

@@ -101,19 +101,21 @@ def sort_ranges(spark: SparkSession, rows: int) -> int | None:
     return ranges if ranges > int(spark.conf.get("spark.sql.shuffle.partitions")) else None
 
 
-def tidy(frames: Sequence[DataFrame], names=COUNTRIES, sort: Sequence[str] = RAW_SORT) -> DataFrame:
+def tidy(frames: Sequence[DataFrame], names=COUNTRIES, sort: Sequence[str] = RAW_SORT, stored: bool = False) -> DataFrame:
     """Union, look up names, reorder, sort (ascending, NULLs last).
 
     The sort is a distributed range-partitioned sort.  All other columns follow
     ``sort`` as tie-breaks, so the rows of one hot sort key can still be split
-    over partitions, and the order is the same on every run.  The rows are stored
-    first (a job): Spark reads them twice, to find the ranges and to deal them, and
-    their number says into how many ranges, so a task's share does not grow.
+    over partitions, and the order is the same on every run.  With ``stored`` the
+    rows are stored first (a job): Spark reads them twice, to find the ranges and to deal
+    them, and their number says into how many ranges, so a task's share does not grow.
     """
     df = reorder(lookup_country(union_datasets(frames), names))
+    keys = [F.col(c).asc_nulls_last() for c in [*sort, *[c for c in df.columns if c not in sort]]]
+    if not stored:
+        return df.orderBy(*keys)
     spark, path = df.sparkSession, scratch_path(df.sparkSession, "untidy")
     df.write.parquet(path)
     held = spark.read.schema(df.schema).parquet(path)
-    keys = [F.col(c).asc_nulls_last() for c in [*sort, *[c for c in df.columns if c not in sort]]]
     ranges = sort_ranges(spark, held.count())  # from the files' footers
     return held.repartitionByRange(ranges, *keys).sortWithinPartitions(*keys) if ranges else held.orderBy(*keys)

@@ -182,7 +182,7 @@ def test_gate_publishes_tables_without_copy(spark, tmp_dir, tables):
 def test_tidy_sorts_a_bounded_number_of_rows_in_a_task(spark, monkeypatch):
     monkeypatch.setattr(datasets, "SORT_ROWS", 1_000)
     df = spark.range(20_000).selectExpr("'household' as consumer_type", "concat('N', id % 3) as geo", "cast((id * 7919) % 20011 as string) as time", "id as v")
-    t = datasets.tidy([df], names={"N1": "ONE"}, sort=["consumer_type", "geo", "time"])
+    t = datasets.tidy([df], names={"N1": "ONE"}, sort=["consumer_type", "geo", "time"], stored=True)
     sizes = [r.n for r in t.groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("n")).collect()]
     rows = [(r.geo, r.time, r.v) for r in t.collect()]
     assert len(sizes) > 10 and max(sizes) < 3_000 and rows == sorted(rows) and len(rows) == 20_000
